@@ -1,0 +1 @@
+"""Intentionally empty: every load is a full-refresh batch, so there is no streaming plan to build."""
