@@ -413,6 +413,23 @@ def rfm_scores(facts: DataFrame, workspace: Workspace) -> DataFrame:
     )
 
 
+RFM = (
+    PERSON,
+    "recency_days",
+    "frequency",
+    "monetary_value",
+    "recency_score",
+    "frequency_score",
+    "monetary_score",
+    "recency_quintile",
+    "monetary_quintile",
+)
+
+
+def rfm_score_table(facts: DataFrame, workspace: Workspace) -> DataFrame:
+    return rfm_scores(facts, workspace).select(*RFM)
+
+
 def segment() -> Column:
     """Behavioural segment; the first rule that holds wins."""
     repeat, once = F.col("frequency") >= 2, F.col("frequency") == 1

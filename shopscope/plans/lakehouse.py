@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopscope.plans import gold, silver
 from shopscope.sources.testdata import raw_tables
@@ -61,6 +62,17 @@ class Lakehouse:
     def customer_profile(self) -> DataFrame:
         return gold.customer_profile_from_facts(self.stored_facts, self.workspace)
 
+    @cached_property
+    def profile_a_year_earlier(self) -> DataFrame:
+        """The customer profile as it was 365 days before the analysis date."""
+        orders = self.silver["orders"]
+        last = orders.agg(F.max("order_purchase_timestamp").cast("date").alias("_last"))
+        cut = F.date_add("_last", 1 - 365)
+        known = orders.crossJoin(F.broadcast(last)).filter(F.col("order_purchase_timestamp").cast("date") < cut)
+        past = Lakehouse(self.raw, Workspace(self.workspace.spark, self.workspace.location("a_year_earlier")))
+        past.silver = {**self.silver, "orders": known.drop("_last")}
+        return past.customer_profile
+
     @cached_property
     def executive_kpis(self) -> DataFrame:
         return gold.executive_kpis(self.customer_profile)
