@@ -70,7 +70,7 @@ from (
     {half_up("sum(lng_m)", "count(lng_m) * 1000000", 10)} as longitude_e10, count(distinct state) as states
   from s_points where zip is not null group by 1
 ) c join (
-  select zip, city, state from s_points group by all
+  select zip, city, state from s_points group by zip, city, state
   qualify row_number() over (partition by zip order by count(*) desc, city nulls last, state nulls last) = 1
 ) r on r.zip = c.zip"""
 

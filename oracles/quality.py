@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 
 def _tally(table: str, **conditions: str) -> str:
     counts = ", ".join(f"count(case when {text} then 1 end) as {alias}" for alias, text in conditions.items())
@@ -132,6 +134,7 @@ _ENTITIES = {
 }
 _LISTED = {"dq_002", "dq_008", "dq_018", "dq_023", "dq_033", "dq_045", "dq_046"}
 _VALUES = {"dq_018", "dq_033"}
+_NESTED = {"dq_003": "as customers_with_multiple_customer_ids"}
 _SURPLUS = {"dq_001": "duplicate_customer_id_rows", "dq_005": "duplicate_order_rows", "dq_034": "duplicate_product_rows",
             "dq_039": "duplicate_seller_rows"}
 
@@ -142,7 +145,8 @@ def _violations(name: str) -> str:
         return f"select count(*) from ({QUERIES[name]}) q"
     if name in _SURPLUS:
         return f"select {_SURPLUS[name]} from ({QUERIES[name]}) q"
-    return f"select list_sum([columns(*)]) from ({QUERIES[name]}) q"
+    columns = re.findall(r"\bas (\w+)", QUERIES[name].rsplit(" from b_", 1)[0] if name not in _NESTED else _NESTED[name])
+    return f"select {' + '.join(columns)} from ({QUERIES[name]}) q"
 
 
 def _scorecard() -> str:

@@ -83,14 +83,14 @@ from (
 select b.segment as segment_before, a.segment as segment_after, count(*) as customers
 from g_segments a full join (with {_earlier()} select person, segment from was_g_segments) b on b.person = a.person group by all""",
     "doc_delay_vs_review": f"""
-with d as ({_DELAYS}), t as (
+select q.* from (with d as ({_DELAYS}), t as (
   select count(*)::double as n, sum(x)::double as sx, sum(y)::double as sy, sum(x * y)::double as sxy,
     sum(x * x)::double as sxx, sum(y * y)::double as syy from d
 )
 select bucket as delay_bucket, count(*) as orders, {mean("y", 2, 100)} as average_review_score,
   {percent("count(case when low > 0 then 1 end)", "count(*)")} as low_score_percentage,
   (select round((n * sxy - sx * sy) / sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)), 6) from t) as delay_score_correlation
-from d group by 1""",
+from d group by 1) q""",
     "doc_late_rate_by_state": f"""
 select c.state as customer_state, count(*) as deliveries, count(case when o.days_late > 0 then 1 end) as late_deliveries,
   {percent("count(case when o.days_late > 0 then 1 end)", "count(*)")} as late_percentage

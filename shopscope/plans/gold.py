@@ -8,6 +8,7 @@ payments and reviews to order grain, orders to account grain, accounts to person
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -89,7 +90,7 @@ def review_summary(reviews: DataFrame) -> DataFrame:
     )
 
 
-def order_summary(silver: dict[str, DataFrame]) -> DataFrame:
+def order_summary(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Order header with its items, payments and reviews; absent parts count and sum to zero."""
     orders = silver["orders"]
     joined = orders.withColumn("_key", spread_null_key(orders, "order_id"))
@@ -318,7 +319,7 @@ def customer_experience(
 # --- category grain ---------------------------------------------------------------------------
 
 
-def customer_category_behavior(silver: dict[str, DataFrame]) -> DataFrame:
+def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Spend per person and category, with its rank and shares within the person.
 
     Items are reduced to (order, product) first. Each join is followed by a new shuffle, so

@@ -6,18 +6,20 @@ are written to the workspace the first time they are needed; the rest stays lazy
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.plans import gold, silver
+from shopscope.sources.lazy import LazyTables
 from shopscope.sources.testdata import raw_tables
 from shopscope.sources.workspace import Workspace
 
 
 class Lakehouse:
-    def __init__(self, raw: dict[str, DataFrame], workspace: Workspace):
+    def __init__(self, raw: Mapping[str, DataFrame], workspace: Workspace):
         self.raw = raw
         self.workspace = workspace
 
@@ -26,7 +28,7 @@ class Lakehouse:
         return cls(raw_tables(spark, directory), Workspace(spark))
 
     @cached_property
-    def silver(self) -> dict[str, DataFrame]:
+    def silver(self) -> LazyTables:
         return silver.build(self.raw)
 
     @cached_property
@@ -70,7 +72,7 @@ class Lakehouse:
         cut = F.date_add("_last", 1 - 365)
         known = orders.crossJoin(F.broadcast(last)).filter(F.col("order_purchase_timestamp").cast("date") < cut)
         past = Lakehouse(self.raw, Workspace(self.workspace.spark, self.workspace.location("a_year_earlier")))
-        past.silver = {**self.silver, "orders": known.drop("_last")}
+        past.silver = self.silver.replacing(orders=known.drop("_last"))
         return past.customer_profile
 
     @cached_property

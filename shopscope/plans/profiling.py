@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from shopscope.operators.keys import beside, distinct_counts
 from shopscope.operators.order_stats import column_quantiles, interpolated
 from shopscope.operators.shares import counts_with_share
 
-Raw = dict[str, DataFrame]
+Raw = Mapping[str, DataFrame]
 
 # Labels of the row-count report.
 TABLE_LABELS = {

@@ -7,7 +7,7 @@ per key for the duplicate and orphan rules.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shopscope.operators.keys import key_counts, orphan_keys, surplus, total
 
-Raw = dict[str, DataFrame]
+Raw = Mapping[str, DataFrame]
 
 
 @dataclass(frozen=True)

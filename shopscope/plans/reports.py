@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ SPEND_PERCENTS = [25, 50, 75, 90, 95]
 PARETO_BUCKETS = 100
 
 
-def delivery_metrics(silver: dict[str, DataFrame]) -> DataFrame:
+def delivery_metrics(silver: Mapping[str, DataFrame]) -> DataFrame:
     days = F.col("delivery_days")
     people = silver["customers"].select(PERSON).distinct().agg(F.count(PERSON).alias("unique_customers"))
     orders = silver["orders"].agg(
@@ -169,7 +171,7 @@ def _late_counts(grouped) -> DataFrame:
     )
 
 
-def late_rate_by_state(silver: dict[str, DataFrame]) -> DataFrame:
+def late_rate_by_state(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Late share of delivered orders per customer state; orders are reduced to accounts first."""
     late = F.col("delivery_vs_estimate_days") > 0
     by_account = silver["orders"].filter("delivery_vs_estimate_days is not null").groupBy("customer_id").agg(
@@ -179,7 +181,7 @@ def late_rate_by_state(silver: dict[str, DataFrame]) -> DataFrame:
     return _late_counts(by_account.join(places, "customer_id").groupBy("customer_state")).orderBy("customer_state")
 
 
-def late_rate_by_route(silver: dict[str, DataFrame]) -> DataFrame:
+def late_rate_by_route(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Late share per seller state and customer state, over the shipments (order, seller)."""
     shipments = silver["order_items"].select("order_id", "seller_id").distinct()
     late = (F.col("delivery_vs_estimate_days") > 0).cast("bigint").alias("late")

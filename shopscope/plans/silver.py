@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.numeric import DAYS, ratio
 from shopscope.functions.text import blank_to_null, lower_trim, pad_zip, upper_trim
 from shopscope.operators.keys import beside, key_counts, orphan_keys, surplus, total
+from shopscope.sources.lazy import LazyTables
 
 MICROS_PER_DAY = 86_400_000_000
 
@@ -162,25 +164,27 @@ def category_translation(raw: DataFrame) -> DataFrame:
     )
 
 
-def build(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def build(raw: Mapping[str, DataFrame]) -> LazyTables:
     """All nine silver tables as lazy frames."""
-    return {
-        "customers": customers(raw["customers"]),
-        "orders": orders(raw["orders"]),
-        "order_items": order_items(raw["order_items"]),
-        "payments": payments(raw["payments"]),
-        "reviews": reviews(raw["reviews"]),
-        "products": products(raw["products"], raw["category_translation"]),
-        "sellers": sellers(raw["sellers"]),
-        "geolocation": geolocation(raw["geolocation"]),
-        "category_translation": category_translation(raw["category_translation"]),
+    narrow = {
+        "customers": customers,
+        "orders": orders,
+        "order_items": order_items,
+        "payments": payments,
+        "reviews": reviews,
+        "sellers": sellers,
+        "geolocation": geolocation,
+        "category_translation": category_translation,
     }
+    builders = {name: lambda name=name, clean=clean: clean(raw[name]) for name, clean in narrow.items()}
+    builders["products"] = lambda: products(raw["products"], raw["category_translation"])
+    return LazyTables(builders)
 
 
 # --- checks -----------------------------------------------------------------------------------
 
 
-def check_row_counts(raw: dict[str, DataFrame], silver: dict[str, DataFrame]) -> DataFrame:
+def check_row_counts(raw: Mapping[str, DataFrame], silver: Mapping[str, DataFrame]) -> DataFrame:
     """Raw and silver row counts per table; locations compare with the distinct padded zips."""
 
     def pair(label: str, before: DataFrame, after: DataFrame) -> DataFrame:
@@ -205,7 +209,7 @@ def check_row_counts(raw: dict[str, DataFrame], silver: dict[str, DataFrame]) ->
     return reduce(DataFrame.unionByName, [*pairs, located])
 
 
-def check_key_uniqueness(silver: dict[str, DataFrame]) -> DataFrame:
+def check_key_uniqueness(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Surplus rows per declared key. A composite key counts as one value, NULL parts included."""
     single = {"customers": "customer_id", "orders": "order_id", "products": "product_id", "sellers": "seller_id"}
     pairs = {"order_items": ("order_id", "order_item_id"), "reviews": ("review_id", "order_id")}
@@ -231,7 +235,7 @@ FOREIGN_KEYS = {
 }
 
 
-def check_foreign_keys(silver: dict[str, DataFrame]) -> DataFrame:
+def check_foreign_keys(silver: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, (child, key, parent) in FOREIGN_KEYS.items():
         violations = total(orphan_keys(silver[child], key, silver[parent]), "violations")
@@ -239,7 +243,7 @@ def check_foreign_keys(silver: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_sanity(silver: dict[str, DataFrame]) -> DataFrame:
+def check_sanity(silver: Mapping[str, DataFrame]) -> DataFrame:
     conditions = [
         ("customers", "invalid_cust_zip_lengths", F.length("customer_zip_code_prefix") != 5),
         ("sellers", "invalid_seller_zip_lengths", F.length("seller_zip_code_prefix") != 5),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopscope.sources.lazy import LazyTables
 from shopscope.sources.schemas import conform
 
 BASE_TABLES = ("customer", "supplier", "part", "orders", "lineitem")
@@ -92,7 +93,14 @@ union all select 'brand_9', null""",
 }
 
 
-def raw_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, directory: str) -> LazyTables:
     """The nine raw tables as lazy frames over the Parquet files in ``directory``."""
-    files = {name: f"parquet.`{directory.rstrip('/')}/{name}.parquet`" for name in BASE_TABLES}
-    return {name: conform(spark.sql(text.format(**files)), name) for name, text in ADAPTERS.items()}
+    root = directory.rstrip("/")
+    base = LazyTables({name: lambda name=name: spark.read.parquet(f"{root}/{name}.parquet") for name in BASE_TABLES})
+
+    def build(name: str) -> DataFrame:
+        text = ADAPTERS[name]
+        used = {table: base[table] for table in BASE_TABLES if f"{{{table}}}" in text}
+        return conform(spark.sql(text, **used), name)
+
+    return LazyTables({name: lambda name=name: build(name) for name in ADAPTERS})
