@@ -7,10 +7,10 @@ position into the global rank. The id in the key keeps partitions even when one
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shopscope.sources.workspace import Workspace
@@ -19,39 +19,48 @@ from shopscope.sources.workspace import Workspace
 _POSITION_BITS = 33
 
 
-@dataclass(frozen=True)
 class Ranked:
     """Rows sorted by (value, id) NULLS LAST, with their ``part`` and ``position`` in it."""
 
-    rows: DataFrame
-    offsets: DataFrame  # part, before, n: one row per partition
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    @cached_property
+    def parts(self) -> list[tuple[int, int, int]]:
+        """(part, rows before it, rows in it): as many entries as the sort had partitions."""
+        sizes = sorted((row["part"], row["n"]) for row in self.rows.groupBy("part").agg(F.count("*").alias("n")).collect())
+        before = accumulate((n for _, n in sizes), initial=0)
+        return [(part, start, n) for (part, n), start in zip(sizes, before)]
+
+    @property
+    def total(self) -> int:
+        return sum(n for _, _, n in self.parts)
 
     def with_rank(self) -> DataFrame:
         """value, id and the one-based global ``rank`` of every row, and the row count ``total``."""
-        size = self.offsets.agg(F.sum("n").alias("total"))
-        return (
-            self.rows.join(F.broadcast(self.offsets), "part")
-            .crossJoin(F.broadcast(size))
-            .select("value", "id", (F.col("position") + F.col("before") + 1).alias("rank"), "total")
-        )
-
-    def keys_at(self, ranks: list[int]) -> list[Row]:
-        """(value, id) at a handful of one-based ranks, in rank order."""
-        parts = self.offsets.collect()
-        places = []
+        spark = self.rows.sparkSession
+        offsets = spark.createDataFrame([(part, before) for part, before, _ in self.parts], "part bigint, before bigint")
+        rank = (F.col("position") + F.col("before") + 1).alias("rank")
+        return self.rows.join(F.broadcast(offsets), "part").select("value", "id", rank, F.lit(self.total).alias("total"))
+
+    def keys_at(self, ranks: list[int]) -> dict[int, Row]:
+        """The (value, id) at a handful of one-based ranks."""
+        places = {}
         for rank in ranks:
-            home = next(p for p in parts if p["before"] < rank <= p["before"] + p["n"])
-            places.append((F.col("part") == home["part"]) & (F.col("position") == rank - home["before"] - 1))
+            part, before, _ = next(p for p in self.parts if p[1] < rank <= p[1] + p[2])
+            places[part, rank - before - 1] = rank
         if not places:
-            return []
-        found = self.rows.filter(reduce(lambda a, b: a | b, places))
-        return found.orderBy("part", "position").select("value", "id").collect()
+            return {}
+        wanted = [(F.col("part") == part) & (F.col("position") == position) for part, position in places]
+        found = self.rows.filter(reduce(lambda a, b: a | b, wanted)).collect()
+        return {places[row["part"], row["position"]]: row for row in found}
 
-    def tile_ends(self, tiles: int, descending: bool = False) -> list[Row]:
-        """The last key of every tile but the final one, counted from the top or from the bottom."""
-        total = self.offsets.agg(F.sum("n")).first()[0] or 0
-        ends = tile_end_ranks(total, tiles)[:-1]
-        return self.keys_at([total + 1 - end for end in ends] if descending else ends)
+    def tile_ends(self, tiles: int) -> tuple[list[Row], list[Row]]:
+        """The last key of every tile but the final one, with the tiles counted up and counted down."""
+        up = tile_end_ranks(self.total, tiles)[:-1]
+        down = [self.total + 1 - end for end in up]
+        keys = self.keys_at([*up, *down])
+        return [keys[rank] for rank in up], [keys[rank] for rank in down]
 
 
 def tile_end_ranks(total: int, tiles: int) -> list[int]:
@@ -75,11 +84,7 @@ def rank_rows(df: DataFrame, value: str, id_column: str, workspace: Workspace, n
             F.col("_row").bitwiseAND(position).alias("position"),
         ),
     )
-    sizes = rows.groupBy("part").agg(F.count("*").alias("n"))
-    # One row per partition: their number is set by the session, not by the data.
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    return Ranked(rows, offsets)
+    return Ranked(rows)
 
 
 def tile_of_rank(rank: Column, total: Column, tiles: int) -> Column:

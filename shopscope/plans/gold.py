@@ -9,10 +9,12 @@ payments and reviews to order grain, orders to account grain, accounts to person
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from shopscope.functions.numeric import MONEY, mean, money_fraction, money_percent, percent, ratio
 from shopscope.operators.keys import key_counts, surplus
@@ -394,14 +396,17 @@ def rfm_scores(facts: DataFrame, workspace: Workspace) -> DataFrame:
     """
     base = customer_base(facts)
 
-    ranks = {
-        measure: rank_rows(base, measure, PERSON, workspace, f"rank_{measure}")
-        for measure in ("recency_days", "frequency", "monetary_value")
-    }
+    measures = ("recency_days", "frequency", "monetary_value")
+
+    def ends(measure: str):
+        return rank_rows(base, measure, PERSON, workspace, f"rank_{measure}").tile_ends(TILES)
+
+    # Three independent sorts: submitted together they share the cluster.
+    with ThreadPoolExecutor(len(measures)) as pool:
+        found = dict(zip(measures, pool.map(inheritable_thread_target(facts.sparkSession)(ends), measures)))
 
     def tile(measure: str, descending: bool = False) -> Column:
-        ends = ranks[measure].tile_ends(TILES, descending)
-        return tile_of_key(base, measure, PERSON, ends, descending)
+        return tile_of_key(base, measure, PERSON, found[measure][descending], descending)
 
     monetary = tile("monetary_value")
     return base.select(

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Building a wide plan makes thousands of column calls; recording a call site for each is slow.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
