@@ -1,16 +1,29 @@
 """Exact order statistics without sorting the data.
 
-The value at a given rank is found digit by digit: a histogram over the leading 16 bits tells
+The value at a given rank is found digit by digit: a histogram over the leading bits tells
 which bucket holds the rank, and the next pass looks only inside that bucket. Every histogram is
-combined map-side and has at most 2**16 buckets per group, whatever the data looks like.
+combined map-side and has at most 2**17 buckets per group, whatever the data looks like.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIGIT_BITS = 16
+MAX_DIGIT_BITS = 17
+
+
+def digit_width(bits: int) -> int:
+    """Bits per pass: as few passes as the limit allows, of about equal width."""
+    return ceil(bits / ceil(bits / MAX_DIGIT_BITS))
+
+
+def leading_digits(values: DataFrame, group: list[str], bits: int) -> DataFrame:
+    """Histogram of the leading digit of ``v`` per group."""
+    shift = max(bits - digit_width(bits), 0)
+    return values.groupBy(*group, F.shiftright("v", shift).alias("digit")).agg(F.count("*").alias("n"))
 
 
 def _bucket_of_rank(histogram: DataFrame, by: list[str], targets: DataFrame) -> DataFrame:
@@ -32,13 +45,13 @@ def values_at_ranks(values: DataFrame, targets: DataFrame, group: list[str], bit
     sign. ``targets`` has the group columns, a label ``slot`` and the ``rank``; it is broadcast, so
     the caller must ask for a bounded number of ranks.
     """
-    shift = max(bits - DIGIT_BITS, 0)
-    leading = values.groupBy(*group, F.shiftright("v", shift).alias("digit")).agg(F.count("*").alias("n"))
-    found = _bucket_of_rank(leading, group, targets).select(
+    width = digit_width(bits)
+    shift = max(bits - width, 0)
+    found = _bucket_of_rank(leading_digits(values, group, bits), group, targets).select(
         *group, "slot", "rank", F.col("digit").alias("prefix")
     )
     while shift > 0:
-        step = min(DIGIT_BITS, shift)
+        step = min(width, shift)
         by = [*group, "prefix"]
         inside = values.withColumn("prefix", F.shiftright("v", shift)).join(
             F.broadcast(found.select(*by).distinct()), by, "left_semi"
@@ -100,7 +113,8 @@ def column_quantiles(
         .unpivot([], names, "metric", "v")
         .filter(F.col("v").isNotNull())
     )
-    sizes = values.groupBy("metric").agg(F.count("*").alias("n"))
+    # The sizes come from the first histogram, which the search reuses.
+    sizes = leading_digits(values, ["metric"], bits).groupBy("metric").agg(F.sum("n").alias("n"))
     return quantiles_by_group(values, sizes, ["metric"], percents, bits)
 
 

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from shopscope.functions.numeric import MONEY, mean, money_fraction, money_percent, percent, ratio
+from shopscope.functions.numeric import MONEY, cents, from_cents, mean, money_percent, percent, ratio
+from shopscope.operators.distinct import sums_and_distincts
 from shopscope.operators.keys import key_counts, surplus
 from shopscope.operators.medians import SMALL_GROUP, median_by_key
 from shopscope.operators.nulls import spread_null_key
@@ -32,38 +33,31 @@ PERSON = "customer_unique_id"
 
 
 def item_summary(items: DataFrame) -> DataFrame:
-    """Items per order.
-
-    Two grouping sets stand in for two DISTINCT counts: each (order, product) and each
-    (order, seller) becomes one row, which is counted per order. Sums ride on the product rows.
-    """
-    per_product = F.grouping("seller_id")
-    pairs = items.groupingSets(
-        [["order_id", "product_id"], ["order_id", "seller_id"]], "order_id", "product_id", "seller_id"
-    ).agg(
-        per_product.alias("per_product"),
-        F.count("*").alias("n"),
-        F.sum("price").alias("price"),
-        F.count("price").alias("prices"),
-        F.sum("freight_value").alias("freight"),
-        F.sum("item_total_value").alias("value"),
-        F.max("price").alias("top_price"),
+    """Items per order."""
+    price = F.col("price")
+    summed = sums_and_distincts(
+        items,
+        ["order_id"],
+        {"distinct_products": "product_id", "distinct_sellers": "seller_id"},
+        {
+            "total_items": F.lit(1).cast("bigint"),
+            "merchandise": cents(price),
+            "priced": price.isNotNull().cast("bigint"),
+            "freight": cents(F.col("freight_value")),
+            "value": cents(F.col("item_total_value")),
+        },
+        {"maximum_item_price": price},
     )
-    of_product = F.col("per_product") == 1
-
-    def over_products(column: str) -> Column:
-        return F.when(of_product, F.col(column))
-
-    price, priced = F.sum(over_products("price")), F.sum(over_products("prices"))
-    return pairs.groupBy("order_id").agg(
-        F.sum(over_products("n")).alias("total_items"),
-        F.count(over_products("product_id")).alias("distinct_products"),
-        F.count(F.when(~of_product, F.col("seller_id"))).alias("distinct_sellers"),
-        price.cast(MONEY).alias("merchandise_value"),
-        F.sum(over_products("freight")).cast(MONEY).alias("freight_value"),
-        F.sum(over_products("value")).cast(MONEY).alias("order_item_value"),
-        ratio(price, priced).alias("average_item_price"),
-        F.max(over_products("top_price")).alias("maximum_item_price"),
+    return summed.select(
+        "order_id",
+        "total_items",
+        "distinct_products",
+        "distinct_sellers",
+        from_cents(F.col("merchandise")).alias("merchandise_value"),
+        from_cents(F.col("freight")).alias("freight_value"),
+        from_cents(F.col("value")).alias("order_item_value"),
+        ratio(F.col("merchandise"), F.col("priced") * 100).alias("average_item_price"),
+        "maximum_item_price",
     )
 
 
@@ -71,10 +65,11 @@ def payment_summary(payments: DataFrame) -> DataFrame:
     by_type = [
         F.count_if(F.col("payment_type") == kind).alias(f"{kind}_payment_records") for kind in PAYMENT_TYPES
     ]
+    paid = F.sum(cents(F.col("payment_value")))
     return payments.groupBy("order_id").agg(
         F.count("*").alias("payment_records"),
-        F.sum("payment_value").cast(MONEY).alias("total_payment_value"),
-        mean(F.col("payment_value")).alias("average_payment_value"),
+        from_cents(paid).alias("total_payment_value"),
+        ratio(paid, F.count("payment_value") * 100).alias("average_payment_value"),
         F.max("payment_value").alias("maximum_payment_value"),
         F.max("payment_installments").alias("maximum_installments"),
         *by_type,
@@ -151,16 +146,15 @@ _SUMMED = {
     "total_payment_records": "payment_records",
     **{f"{kind}_payments": f"{kind}_payment_records" for kind in PAYMENT_TYPES},
 }
-_SUMMED_MONEY = {
-    "total_merchandise_value": "order_item_value",
-    "total_payment_value": "total_payment_value",
-    "total_freight_value": "freight_value",
+_SUMMED_CENTS = {
+    "merchandise_cents": "order_item_value",
+    "payment_cents": "total_payment_value",
+    "freight_cents": "freight_value",
 }
-# Averages are carried as a sum and a count until the last level.
+# Averages are carried as a sum and a count until the last level; review scores in hundredths.
 _AVERAGED = {
     "delivery": "delivery_days",
     "estimate": "delivery_vs_estimate_days",
-    "score": "average_review_score",
     "installment": "maximum_installments",
 }
 
@@ -168,12 +162,14 @@ _AVERAGED = {
 def account_facts(summary: DataFrame) -> DataFrame:
     """Order history per account (``customer_id``)."""
     status = F.col("order_status")
-    sums = [F.sum(source).alias(name) for name, source in {**_SUMMED, **_SUMMED_MONEY}.items()]
+    sums = [F.sum(source).alias(name) for name, source in _SUMMED.items()]
+    sums += [F.sum(cents(F.col(source))).alias(name) for name, source in _SUMMED_CENTS.items()]
     parts = [
         part
         for name, source in _AVERAGED.items()
         for part in (F.sum(source).alias(f"{name}_sum"), F.count(source).alias(f"{name}_n"))
     ]
+    parts += [F.sum(cents(F.col("average_review_score"))).alias("score_sum"), F.count("average_review_score").alias("score_n")]
     return summary.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count("*").alias("order_rows"),
         F.count("order_id").alias("total_orders"),
@@ -212,8 +208,8 @@ def customer_facts(summary: DataFrame, customers: DataFrame) -> DataFrame:
         "delivered_orders",
         "unsuccessful_orders",
         *_SUMMED,
-        *_SUMMED_MONEY,
-        *[f"{name}_{part}" for name in _AVERAGED for part in ("sum", "n")],
+        *_SUMMED_CENTS,
+        *[f"{name}_{part}" for name in (*_AVERAGED, "score") for part in ("sum", "n")],
         "late_orders",
     ]
     return joined.groupBy(PERSON).agg(
@@ -226,7 +222,8 @@ def customer_facts(summary: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def _average(name: str, digits: int = 10) -> Column:
-    return ratio(F.col(f"{name}_sum"), F.col(f"{name}_n"), digits)
+    unit = 100 if name == "score" else 1
+    return ratio(F.col(f"{name}_sum"), F.col(f"{name}_n") * unit, digits)
 
 
 def _primary_payment() -> Column:
@@ -250,10 +247,11 @@ def _customer_360() -> list[Column]:
         "unsuccessful_orders",
         "total_items",
         "product_instances",
-        *[F.col(name).cast(MONEY).alias(name) for name in ("total_merchandise_value", "total_payment_value")],
-        ratio(F.col("total_payment_value"), F.col("order_rows"), 2).alias("average_order_value"),
+        from_cents(F.col("merchandise_cents")).alias("total_merchandise_value"),
+        from_cents(F.col("payment_cents")).alias("total_payment_value"),
+        ratio(F.col("payment_cents"), F.col("order_rows") * 100, 2).alias("average_order_value"),
         "maximum_order_value",
-        F.col("total_freight_value").cast(MONEY).alias("total_freight_value"),
+        from_cents(F.col("freight_cents")).alias("total_freight_value"),
         "first_purchase_timestamp",
         "last_purchase_timestamp",
         active.alias("customer_activity_days"),
@@ -329,9 +327,9 @@ def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     """
     lines = silver["order_items"].groupBy("order_id", "product_id").agg(
         F.count("*").alias("n"),
-        F.sum("price").alias("price"),
+        F.sum(cents(F.col("price"))).alias("price"),
         F.count("price").alias("prices"),
-        F.sum("freight_value").alias("freight"),
+        F.sum(cents(F.col("freight_value"))).alias("freight"),
     )
     # A repeated account repeats its items; carrying the multiplicity keeps the account rows unique.
     people = silver["customers"].groupBy("customer_id", PERSON).agg(F.count("*").alias("times"))
@@ -340,28 +338,31 @@ def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     bought = lines.join(buyers, "order_id").join(products, "product_id", "left")
 
     times = F.col("times")
-    spend = bought.groupBy(PERSON, F.coalesce("category", F.lit("unknown")).alias("product_category")).agg(
-        F.count_distinct("order_id").alias("category_orders"),
-        F.sum(F.col("n") * times).alias("category_items"),
-        F.count_distinct("product_id").alias("distinct_products"),
-        F.sum(F.col("price") * times).cast(MONEY).alias("category_merchandise_value"),
-        F.sum(F.col("freight") * times).cast(MONEY).alias("category_freight_value"),
-        F.sum(F.col("prices") * times).alias("prices"),
+    spend = sums_and_distincts(
+        bought.withColumn("product_category", F.coalesce("category", F.lit("unknown"))),
+        [PERSON, "product_category"],
+        {"category_orders": "order_id", "distinct_products": "product_id"},
+        {
+            "category_items": F.col("n") * times,
+            "value": F.col("price") * times,
+            "freight": F.col("freight") * times,
+            "prices": F.col("prices") * times,
+        },
     )
     # A window holds one person's categories, one row each.
     person = Window.partitionBy(PERSON)
-    value, orders = F.col("category_merchandise_value"), F.col("category_orders")
+    value, orders = F.col("value"), F.col("category_orders")
     return spend.select(
         PERSON,
         "product_category",
         "category_orders",
         "category_items",
         "distinct_products",
-        "category_merchandise_value",
-        "category_freight_value",
-        ratio(value, F.col("prices"), 2).alias("average_item_price"),
+        from_cents(value).alias("category_merchandise_value"),
+        from_cents(F.col("freight")).alias("category_freight_value"),
+        ratio(value, F.col("prices") * 100, 2).alias("average_item_price"),
         F.rank().over(person.orderBy(value.desc_nulls_first())).alias("category_value_rank"),
-        money_fraction(value, F.sum(value).over(person)).alias("category_spend_share"),
+        ratio(value, F.sum(value).over(person), 2).alias("category_spend_share"),
         ratio(orders, F.sum(orders).over(person), 2).alias("category_order_share"),
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.functions.numeric import MONEY, cents, mean, money_percent, percent, ratio
+from shopscope.functions.numeric import MONEY, cents, from_cents, mean, percent, ratio
 from shopscope.operators.keys import beside
 from shopscope.operators.order_stats import column_quantiles, interpolated
 from shopscope.operators.ranking import rank_rows, tile_of_rank
@@ -35,8 +35,8 @@ def delivery_metrics(silver: Mapping[str, DataFrame]) -> DataFrame:
 
 def spend_distribution(facts: DataFrame) -> DataFrame:
     """Minimum, quantiles and maximum of customer spend, one row each."""
-    spend = F.col("total_payment_value")
-    found = column_quantiles(facts, {"spend": cents(spend)}, SPEND_PERCENTS).select(
+    spend = F.col("payment_cents")
+    found = column_quantiles(facts, {"spend": spend}, SPEND_PERCENTS).select(
         F.concat(F.lit("p"), "percent").alias("metric"),
         F.round(interpolated() / F.lit(100).cast("decimal(3,0)"), 2).cast(MONEY).alias("value"),
     )
@@ -44,7 +44,7 @@ def spend_distribution(facts: DataFrame) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("metric"), F.col(name).cast(MONEY).alias("value"))
+                    F.struct(F.lit(name).alias("metric"), from_cents(F.col(name)).alias("value"))
                     for name in ("minimum", "maximum")
                 ]
             )
@@ -88,21 +88,21 @@ def rfm_matrix(profile: DataFrame) -> DataFrame:
 
 def pareto_curve(facts: DataFrame, workspace: Workspace) -> DataFrame:
     """Cumulative revenue share by percentile of customers, biggest spenders first."""
-    ranked = rank_rows(facts, "total_payment_value", PERSON, workspace, "rank_spend").with_rank()
+    ranked = rank_rows(facts, "payment_cents", PERSON, workspace, "rank_spend").with_rank()
     bucket = tile_of_rank(F.col("total") + 1 - F.col("rank"), F.col("total"), PARETO_BUCKETS)
     by_bucket = ranked.groupBy(bucket.alias("customer_percentile")).agg(
-        F.count("*").alias("customers"), F.sum("value").cast(MONEY).alias("revenue")
+        F.count("*").alias("customers"), F.sum("value").alias("cents")
     )
     # At most PARETO_BUCKETS rows from here on.
     so_far = Window.orderBy("customer_percentile").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy()
-    running = F.sum("revenue").over(so_far)
+    running = F.sum("cents").over(so_far)
     return by_bucket.select(
         "customer_percentile",
         "customers",
-        "revenue",
-        running.cast(MONEY).alias("cumulative_revenue"),
-        money_percent(running, F.sum("revenue").over(everything)).alias("cumulative_revenue_share"),
+        from_cents(F.col("cents")).alias("revenue"),
+        from_cents(running).alias("cumulative_revenue"),
+        percent(running, F.sum("cents").over(everything)).alias("cumulative_revenue_share"),
     ).orderBy("customer_percentile")
 
 
