@@ -27,7 +27,7 @@ HEADLINE = (
     "gold_executive_kpis",
     "view_customer_segments",
 )
-RUNS = 3
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def main() -> None:

@@ -26,18 +26,25 @@ def large_groups(sizes: DataFrame, key: str, small: int = SMALL_GROUP) -> DataFr
     return sizes.crossJoin(F.broadcast(rows)).filter(F.col("n") > limit).select(key, "n")
 
 
+def _gathered(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Median by sorting each group inside its aggregate, for groups of limited size."""
+    sorted_values = rows.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("v"))
+    last = F.size("v") - 1
+    middle = F.col("v")[F.floor(last / 2).cast("int")] + F.col("v")[F.ceil(last / 2).cast("int")]
+    return sorted_values.select(key, (middle / F.lit(2).cast("decimal(1,0)")).cast("decimal(18,11)").alias("median"))
+
+
 def median_by_key(rows: DataFrame, sizes: DataFrame, key: str, value: str, small: int = SMALL_GROUP) -> DataFrame:
-    """(key, median) of a non-NULL decimal(16,10) ``value``; ``sizes`` holds (key, n) for every key."""
+    """(key, median) of a non-NULL decimal(16,10) ``value``; ``sizes`` holds (key, n) for every key.
+
+    ``sizes`` should be a stored table: it is looked at first, so that the usual case of no large
+    group pays for nothing else.
+    """
     large = large_groups(sizes, key, small)
+    if large.isEmpty():
+        return _gathered(rows, key, value)
     same = rows[key].eqNullSafe(large[key])
-    gathered = (
-        rows.join(F.broadcast(large), same, "left_anti")
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_list(value)).alias("v"))
-    )
-    last = F.size("v") - 1
-    middle = F.col("v")[F.floor(last / 2).cast("int")] + F.col("v")[F.ceil(last / 2).cast("int")]
-    small_medians = gathered.select(key, (middle / F.lit(2).cast("decimal(1,0)")).cast("decimal(18,11)").alias("median"))
+    small_medians = _gathered(rows.join(F.broadcast(large), same, "left_anti"), key, value)
 
     # A NULL key is a group like any other; the marker keeps it joinable.
     marked = [F.col(key).isNull().alias("_none"), F.coalesce(key, F.lit("")).alias(key)]

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopscope.functions.numeric import money_percent, percent
+from shopscope.functions.numeric import percent
 
 
-def with_totals(grouped: DataFrame, **totals: str) -> DataFrame:
-    """Append grand totals, one per alias.
+def with_total(grouped: DataFrame, column: str, alias: str) -> DataFrame:
+    """Append the grand total of a column, for any number of groups.
 
-    The totals are a one-row frame over the same grouped plan, whose exchange Spark reuses. An
+    The total is a one-row frame over the same grouped plan, whose exchange Spark reuses. An
     unpartitioned window would pull every group into one task instead.
     """
-    row = grouped.agg(*[F.sum(column).alias(alias) for alias, column in totals.items()])
-    return grouped.crossJoin(F.broadcast(row))
+    return grouped.crossJoin(F.broadcast(grouped.agg(F.sum(column).alias(alias))))
+
+
+def over_all(column: str) -> Column:
+    """The grand total of a column, for a frame whose rule allows a handful of groups only."""
+    return F.sum(column).over(Window.partitionBy())
 
 
 def counts_with_share(df: DataFrame, key: str | Column, count: str, share: str) -> DataFrame:
     """Rows per key and their percentage of all rows."""
     grouped = df.groupBy(key).agg(F.count("*").alias(count))
-    rows = with_totals(grouped, _all=count)
+    rows = with_total(grouped, count, "_all")
     return rows.withColumn(share, percent(F.col(count), F.col("_all"))).drop("_all")
-
-
-def money_share(amount: str, total: str) -> Column:
-    return money_percent(F.col(amount), F.col(total))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.functions.numeric import MONEY, mean, percent, ratio
-from shopscope.operators.shares import money_share, with_totals
+from shopscope.functions.numeric import MONEY, mean, money_percent, percent, ratio
+from shopscope.operators.shares import over_all
 from shopscope.plans.gold import PERSON, experience_averages
 
 TARGET_SEGMENTS = ("High-Value One-Time", "Recent One-Time", "Developing Repeat", "Low-Value Inactive")
@@ -28,11 +28,10 @@ def _economics() -> list[Column]:
 
 def _shared(grouped: DataFrame, *columns: str) -> DataFrame:
     """Add each group's share of customers and revenue and keep the named columns."""
-    totalled = with_totals(grouped, _customers="customers", _revenue="total_revenue")
-    return totalled.select(
+    return grouped.select(
         "*",
-        percent(F.col("customers"), F.col("_customers")).alias("customer_percentage"),
-        money_share("total_revenue", "_revenue").alias("revenue_percentage"),
+        percent(F.col("customers"), over_all("customers")).alias("customer_percentage"),
+        money_percent(F.col("total_revenue"), over_all("total_revenue")).alias("revenue_percentage"),
     ).select(*columns)
 
 
