@@ -1,0 +1,91 @@
+"""Full refresh: CSV files in, bronze, silver and gold tables and the management views out."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from shopscope.plans import gold, silver, views
+from shopscope.sources import csv_files
+from shopscope.sources.workspace import Workspace
+
+LAYERS = ("bronze", "silver", "gold")
+
+VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "v_customer_segments": views.customer_segments,
+    "v_customer_type_performance": views.customer_type_performance,
+    "v_revenue_concentration": views.revenue_concentration,
+    "v_customer_experience": views.customer_experience,
+    "v_retention_opportunities": views.retention_opportunities,
+}
+
+
+class DuplicateKeys(Exception):
+    """A gold table holds a key more than once."""
+
+
+def create_namespaces(spark: SparkSession, target: str, prefix: str = "") -> None:
+    for layer in LAYERS:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{target}/{layer}'")
+
+
+def _publish(spark: SparkSession, target: str, prefix: str, layer: str, name: str, df: DataFrame) -> DataFrame:
+    """Replace a table; it is stored below ``target`` and known to the catalog."""
+    table = f"{prefix}{layer}.{name}"
+    df.write.mode("overwrite").option("path", f"{target}/{layer}/{name}").saveAsTable(table)
+    return spark.table(table)
+
+
+def build_silver(spark: SparkSession, raw: Mapping[str, DataFrame], target: str, prefix: str = "") -> dict[str, DataFrame]:
+    return {name: _publish(spark, target, prefix, "silver", name, df) for name, df in silver.build(raw).items()}
+
+
+def build_gold(spark: SparkSession, tables: Mapping[str, DataFrame], target: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Store the six gold tables. Each is computed from stored ones, so no step repeats another."""
+
+    def publish(name: str, df: DataFrame) -> DataFrame:
+        return _publish(spark, target, prefix, "gold", name, df)
+
+    workspace = Workspace(spark)
+    built = {"order_summary": publish("order_summary", gold.order_summary(tables))}
+    facts = workspace.store("customer_facts", gold.customer_facts(built["order_summary"], tables["customers"]))
+    built["customer_360"] = publish("customer_360", gold.customer_360(facts))
+    built["customer_category_behavior"] = publish("customer_category_behavior", gold.customer_category_behavior(tables))
+    built["customer_experience"] = publish(
+        "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"])
+    )
+    built["customer_intelligence"] = publish("customer_intelligence", gold.customer_intelligence(facts, workspace))
+    profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
+    built["executive_kpis"] = publish("executive_kpis", gold.executive_kpis(profile))
+    return built
+
+
+def check_gold(built: Mapping[str, DataFrame]) -> DataFrame:
+    keys = {"order_summary": "order_id", **{f"customer_{t}": gold.PERSON for t in ("360", "experience", "intelligence")}}
+    return gold.check_keys({f"gold.{name}": (built[name], key) for name, key in keys.items()})
+
+
+def register_views(spark: SparkSession, built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Session views over the stored gold tables; nothing runs until one is read."""
+    profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
+    frames = {name: view(profile) for name, view in VIEWS.items()}
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    return frames
+
+
+def refresh(spark: SparkSession, files: dict[str, str], target: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Run everything and return the gold tables and views by name."""
+    create_namespaces(spark, target, prefix)
+    raw = csv_files.load(spark, files, f"{target}/bronze")
+    for name in raw:
+        table = f"{prefix}bronze.{name}"
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{target}/bronze/{name}'")
+        spark.catalog.refreshTable(table)
+    tables = build_silver(spark, raw, target, prefix)
+    built = build_gold(spark, tables, target, prefix)
+    surplus = check_gold(built).filter("duplicate_keys > 0").collect()
+    if surplus:
+        raise DuplicateKeys(", ".join(f"{row['table_name']}: {row['duplicate_keys']}" for row in surplus))
+    return {**built, **register_views(spark, built)}
