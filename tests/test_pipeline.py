@@ -1,0 +1,44 @@
+"""The full refresh from CSV files, and the views over its stored tables."""
+
+import pytest
+
+from shopscope.plans import pipeline
+from shopscope.plans.lakehouse import Lakehouse
+from shopscope.sources import csv_files
+from tests.compare import rows_of
+
+DIRECTORY = "/root/testdata/sf0.001"
+
+
+@pytest.fixture()
+def files(spark, tmp_path):
+    raw = Lakehouse.over_testdata(spark, DIRECTORY).raw
+    paths = {table: str(tmp_path / "csv" / table) for table in raw}
+    for table, path in paths.items():
+        csv_files.write_csv(raw[table], path)
+    return paths
+
+
+def _rows(df):
+    return rows_of(df.columns, [tuple(row) for row in df.collect()])
+
+
+def test_refresh_twice_and_compare(spark, files, tmp_path):
+    target = str(tmp_path / "lake")
+    for _ in range(2):
+        built = pipeline.refresh(spark, files, target, prefix="shop_")
+    lake = Lakehouse.over_testdata(spark, DIRECTORY)
+    assert _rows(spark.table("shop_gold.customer_experience")) == _rows(lake.customer_experience)
+    assert _rows(spark.table("shop_gold.executive_kpis")) == _rows(lake.executive_kpis)
+    for name, view in pipeline.VIEWS.items():
+        assert _rows(spark.sql(f"select * from {name}")) == _rows(view(lake.customer_profile))
+        assert name in built
+    assert spark.table("shop_bronze.reviews").count() == 1285
+    assert {t.name for t in spark.catalog.listTables("shop_silver")} >= {"geolocation", "products"}
+
+
+def test_repeated_order_ids_stop_the_refresh(spark, files, tmp_path):
+    raw = Lakehouse.over_testdata(spark, DIRECTORY).raw
+    csv_files.write_csv(raw["orders"].unionByName(raw["orders"].limit(1)), files["orders"])
+    with pytest.raises(pipeline.DuplicateKeys, match="gold.order_summary: 1"):
+        pipeline.refresh(spark, files, str(tmp_path / "lake"), prefix="twice_")
