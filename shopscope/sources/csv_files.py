@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopscope.sources.schemas import AUDIT_SCHEMA, RAW_SCHEMAS
@@ -17,23 +17,63 @@ from shopscope.sources.schemas import AUDIT_SCHEMA, RAW_SCHEMAS
 # this marker cannot occur in the text of a database export.
 _NULL_MARKER = "\0"
 
-# Tables whose text may hold line breaks. Such a file is read by one task, so a large export should
-# come as many files; the other tables are split freely.
+# Tables whose text may hold line breaks.
 MULTI_LINE_TABLES = frozenset({"reviews"})
 
+_FORMAT = {"mode": "FAILFAST", "quote": '"', "escape": '"', "nullValue": _NULL_MARKER}
+
 
 def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool | None = None) -> DataFrame:
     """The file or folder at ``path`` as ``table``. Columns go by position; a bad row fails the job."""
-    return spark.read.schema(RAW_SCHEMAS[table]).csv(
-        path,
-        header=True,
-        enforceSchema=True,
-        mode="FAILFAST",
-        quote='"',
-        escape='"',
-        nullValue=_NULL_MARKER,
-        multiLine=table in MULTI_LINE_TABLES if multi_line is None else multi_line,
+    schema = RAW_SCHEMAS[table]
+    if table in MULTI_LINE_TABLES if multi_line is None else multi_line:
+        kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
+        parsed = F.from_csv("record", kinds, {**_FORMAT, "lineSep": "\n"})
+        return multi_line_records(spark, path).select(parsed.alias("row")).select("row.*")
+    return spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **_FORMAT)
+
+
+def multi_line_records(spark: SparkSession, path: str) -> DataFrame:
+    """CSV records with quoted line breaks, from files that are still read in splits.
+
+    Spark's own multi-line mode gives a whole file to one task. Here every split counts the quotes
+    of its lines; the parity up to a line tells whether it starts a record. Lines are grouped
+    within their split, splits within their file, and only the lines of broken records are
+    shuffled again to be joined.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("line"),
+        "value",
+        F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)).alias("odd"),
+    )
+    in_split = Window.partitionBy("file", "split").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+
+    parity = lines.groupBy("file", "split").agg(F.sum("odd").alias("quotes"))
+    opened = parity.select("file", "split", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("open"))
+    before = F.col("open") + F.sum("odd").over(in_split) - F.col("odd")
+    marked = lines.join(opened, ["file", "split"]).withColumn("start", F.pmod(before, F.lit(2)) == 0)
+    numbered = marked.withColumn("number", F.sum(F.col("start").cast("int")).over(in_split))
+
+    # Lines before the first start of a split belong to the last record of an earlier split.
+    starts = numbered.groupBy("file", "split").agg(F.max("number").alias("starts"))
+    last = F.last(F.when(F.col("starts") > 0, F.struct(F.col("split").alias("split"), F.col("starts").alias("number"))), True)
+    owners = starts.select("file", "split", last.over(earlier).alias("owner"))
+    own = F.struct(F.col("split").alias("split"), F.col("number").cast("bigint").alias("number"))
+    owned = numbered.join(owners, ["file", "split"]).withColumn(
+        "id", F.when(F.col("number") > 0, own).otherwise(F.col("owner"))
+    )
+    content = owned.filter((F.col("id.split") > 0) | (F.col("id.number") > 1))  # the first record is the header
+
+    whole = F.col("start") & (F.col("odd") == 0)
+    parts = content.filter(~whole).groupBy("file", "id").agg(
+        F.sort_array(F.collect_list(F.struct("split", "line", "value"))).alias("parts")
     )
+    joined = parts.select(F.array_join(F.col("parts.value"), "\n").alias("record"))
+    records = content.filter(whole).select(F.col("value").alias("record")).unionByName(joined)
+    return records.select(F.regexp_replace("record", "\r$", "").alias("record")).filter("record <> ''")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

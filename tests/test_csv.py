@@ -58,3 +58,27 @@ def test_round_trip_keeps_text(spark, tmp_path):
     csv_files.write_csv(raw_table(spark, "reviews", rows), path)
     found = csv_files.read_csv(spark, "reviews", path).collect()
     assert {row["review_id"]: row["review_comment_message"] for row in found} == {str(i): t for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "1000", "100000"])
+def test_multi_line_records_across_splits(spark, tmp_path, split_bytes):
+    import random
+
+    rng = random.Random(5)
+    pieces = ["plain", "two\nlines", 'say ""x""', "", "a,b", "\n\n", 'end""\n', "long " * 30, "\r\nx"]
+    expected = {}
+    for number in range(3):
+        body = HEADER + "\n"
+        for i in range(200):
+            text = "".join(rng.choice(pieces) for _ in range(rng.randrange(4)))
+            expected[f"r{number}-{i}"] = text.replace('""', '"')
+            body += f'r{number}-{i},o,3,,"{text}",,\n'
+        (tmp_path / f"part{number}.csv").write_text(body, newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        rows = csv_files.read_csv(spark, "reviews", str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == len(expected)
+    assert {row["review_id"]: row["review_comment_message"] for row in rows} == expected
