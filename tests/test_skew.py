@@ -68,3 +68,44 @@ def test_null_keys_are_spread(spark):
     keys = df.select(spread_null_key(df, "k").alias("k"))
     assert keys.distinct().count() == 1001
     assert keys.filter("k = 'a'").count() == 1
+
+
+SPLIT_EARLY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_product_is_split_in_the_category_join(spark, workspace):
+    """A product with a third of all lines: its join partition is divided between tasks."""
+    from shopscope.plans import gold
+
+    n = 60_000
+    spark.range(n, numPartitions=8).selectExpr(
+        "concat('o', id) as order_id",
+        "if(id % 3 = 0, 'hot', concat('p', id % 5000)) as product_id",
+        "cast(1.25 as decimal(12,2)) as price",
+        "cast(0.25 as decimal(12,2)) as freight_value",
+    ).write.parquet(workspace.location("items"))
+    people = spark.range(n).selectExpr("concat('c', id) as customer_id", "concat('u', id % 50) as customer_unique_id")
+    orders = spark.range(n).selectExpr("concat('o', id) as order_id", "concat('c', id) as customer_id")
+    products = spark.range(5000).selectExpr(
+        "if(id = 0, 'hot', concat('p', id)) as product_id", "concat('k', id % 7) as product_category_name_english"
+    )
+    silver = {"order_items": spark.read.parquet(workspace.location("items")), "customers": people, "orders": orders, "products": products}
+    before = {key: spark.conf.get(key) for key in SPLIT_EARLY}
+    try:
+        for key, value in SPLIT_EARLY.items():
+            spark.conf.set(key, value)
+        found = gold.customer_category_behavior(silver)
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "skew=true" in plan
+    assert sum(row["category_items"] for row in rows) == n
+    assert sum(row["category_merchandise_value"] for row in rows) == Decimal("1.25") * n
