@@ -103,6 +103,12 @@ def quantiles_by_group(
     return ends.join(F.broadcast(weights), [*group, "percent"])
 
 
+def signed_bits(df: DataFrame, column: Column) -> int:
+    """Bits that hold every value of a bigint expression, sign included. Runs one aggregate."""
+    low, high = df.agg(F.min(column), F.max(column)).first()
+    return max(2, *[(value if value >= 0 else ~value).bit_length() + 1 for value in (low or 0, high or 0)])
+
+
 def column_quantiles(
     df: DataFrame, columns: dict[str, Column], percents: list[int], bits: int = 64
 ) -> DataFrame:

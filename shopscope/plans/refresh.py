@@ -48,16 +48,21 @@ def build_gold(spark: SparkSession, tables: Mapping[str, DataFrame], target: str
         return _publish(spark, target, prefix, "gold", name, df)
 
     workspace = Workspace(spark)
-    built = {"order_summary": publish("order_summary", gold.order_summary(tables))}
-    facts = workspace.store("customer_facts", gold.customer_facts(built["order_summary"], tables["customers"]))
-    built["customer_360"] = publish("customer_360", gold.customer_360(facts))
-    built["customer_category_behavior"] = publish("customer_category_behavior", gold.customer_category_behavior(tables))
-    built["customer_experience"] = publish(
-        "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"])
-    )
-    built["customer_intelligence"] = publish("customer_intelligence", gold.customer_intelligence(facts, workspace))
-    profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
-    built["executive_kpis"] = publish("executive_kpis", gold.executive_kpis(profile))
+    try:
+        built = {"order_summary": publish("order_summary", gold.order_summary(tables))}
+        facts = workspace.store("customer_facts", gold.customer_facts(built["order_summary"], tables["customers"]))
+        built["customer_360"] = publish("customer_360", gold.customer_360(facts))
+        built["customer_category_behavior"] = publish(
+            "customer_category_behavior", gold.customer_category_behavior(tables)
+        )
+        built["customer_experience"] = publish(
+            "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"])
+        )
+        built["customer_intelligence"] = publish("customer_intelligence", gold.customer_intelligence(facts, workspace))
+        profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
+        built["executive_kpis"] = publish("executive_kpis", gold.executive_kpis(profile))
+    finally:
+        workspace.discard()
     return built
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.numeric import MONEY, cents, from_cents, mean, percent, ratio
 from shopscope.operators.keys import beside
-from shopscope.operators.order_stats import column_quantiles, interpolated
+from shopscope.operators.order_stats import column_quantiles, interpolated, signed_bits
 from shopscope.operators.ranking import rank_rows, tile_of_rank
 from shopscope.plans import gold, views
 from shopscope.plans.gold import PERSON
@@ -34,9 +34,9 @@ def delivery_metrics(silver: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def spend_distribution(facts: DataFrame) -> DataFrame:
-    """Minimum, quantiles and maximum of customer spend, one row each."""
+    """Minimum, quantiles and maximum of customer spend, one row each, over the stored facts."""
     spend = F.col("payment_cents")
-    found = column_quantiles(facts, {"spend": spend}, SPEND_PERCENTS).select(
+    found = column_quantiles(facts, {"spend": spend}, SPEND_PERCENTS, signed_bits(facts, spend)).select(
         F.concat(F.lit("p"), "percent").alias("metric"),
         F.round(interpolated() / F.lit(100).cast("decimal(3,0)"), 2).cast(MONEY).alias("value"),
     )

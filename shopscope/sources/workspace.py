@@ -40,5 +40,11 @@ class Workspace:
         df.write.mode("overwrite").parquet(self.location(name))
         return self.read(name, df)
 
+    def discard(self) -> None:
+        """Delete the folder, once nothing reads its tables any more."""
+        jvm, session = self.spark._jvm, self.spark._jsparkSession
+        folder = jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(session.sessionState().newHadoopConf()).delete(folder, True)
+
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.location(name))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopscope.operators.order_stats import column_quantiles, interpolated, quantiles_by_group
+from shopscope.operators.order_stats import column_quantiles, interpolated, quantiles_by_group, signed_bits
 from shopscope.operators.ranking import rank_rows, tile_end_ranks, tile_of_key, tile_of_rank
 
 
@@ -92,3 +92,21 @@ def test_median_is_interpolated(spark):
     sizes = values.groupBy("k").agg(F.count("*").alias("n"))
     rows = quantiles_by_group(values, sizes, ["k"], [50]).select("k", interpolated().alias("m")).collect()
     assert {row["k"]: float(row["m"]) for row in rows} == {"x": 2.5, "y": -3.0}
+
+
+def test_signed_bits(spark):
+    def bits(*values):
+        return signed_bits(spark.createDataFrame([(v,) for v in values], "v long"), F.col("v"))
+
+    assert [bits(0), bits(1), bits(-2), bits(127, None), bits(128), bits(-129), bits(None)] == [2, 2, 2, 8, 9, 9, 2]
+    assert bits(2**63 - 1) == bits(-(2**63)) == 64
+
+
+@pytest.mark.parametrize("bits", [2, 9, 18, 35])
+def test_quantiles_at_awkward_widths(spark, bits):
+    top = 1 << (bits - 1)
+    values = sorted({-top, top - 1, 0, -1, top // 2, -(top // 2)})
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    steps = len(values) - 1
+    row = column_quantiles(df, {"v": F.col("v")}, [0, 100], bits).orderBy("percent").collect()
+    assert [row[0]["lower"], row[1]["upper"]] == [values[0], values[steps]]

@@ -2,7 +2,7 @@
 
 import pytest
 
-from shopscope.plans import pipeline
+from shopscope.plans import refresh as jobs
 from shopscope.plans.lakehouse import Lakehouse
 from shopscope.sources import csv_files
 from tests.compare import rows_of
@@ -26,11 +26,11 @@ def _rows(df):
 def test_refresh_twice_and_compare(spark, files, tmp_path):
     target = str(tmp_path / "lake")
     for _ in range(2):
-        built = pipeline.refresh(spark, files, target, prefix="shop_")
+        built = jobs.refresh(spark, files, target, prefix="shop_")
     lake = Lakehouse.over_testdata(spark, DIRECTORY)
     assert _rows(spark.table("shop_gold.customer_experience")) == _rows(lake.customer_experience)
     assert _rows(spark.table("shop_gold.executive_kpis")) == _rows(lake.executive_kpis)
-    for name, view in pipeline.VIEWS.items():
+    for name, view in jobs.VIEWS.items():
         assert _rows(spark.sql(f"select * from {name}")) == _rows(view(lake.customer_profile))
         assert name in built
     assert spark.table("shop_bronze.reviews").count() == 1285
@@ -40,5 +40,5 @@ def test_refresh_twice_and_compare(spark, files, tmp_path):
 def test_repeated_order_ids_stop_the_refresh(spark, files, tmp_path):
     raw = Lakehouse.over_testdata(spark, DIRECTORY).raw
     csv_files.write_csv(raw["orders"].unionByName(raw["orders"].limit(1)), files["orders"])
-    with pytest.raises(pipeline.DuplicateKeys, match="gold.order_summary: 1"):
-        pipeline.refresh(spark, files, str(tmp_path / "lake"), prefix="twice_")
+    with pytest.raises(jobs.DuplicateKeys, match="gold.order_summary: 1"):
+        jobs.refresh(spark, files, str(tmp_path / "lake"), prefix="twice_")
