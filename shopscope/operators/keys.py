@@ -6,8 +6,6 @@ shuffled or joined, so a single key holding a large share of the rows costs no m
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +21,11 @@ def surplus(key: str) -> Column:
 
 
 def beside(frames: list[DataFrame]) -> DataFrame:
-    """Put one-row frames next to each other. Each input must be a global aggregate."""
-    return reduce(lambda left, right: left.crossJoin(F.broadcast(right)), frames)
+    """Put one-row frames next to each other: the first one, with the others as scalar subqueries."""
+    first, *others = frames
+    rows = [frame.select(F.struct("*")).scalar() for frame in others]
+    columns = [row[name].alias(name) for row, frame in zip(rows, others) for name in frame.columns]
+    return first.select("*", *columns)
 
 
 def distinct_counts(df: DataFrame, **columns: str) -> list[DataFrame]:

@@ -21,9 +21,9 @@ def large_groups(sizes: DataFrame, key: str, small: int = SMALL_GROUP) -> DataFr
     The limit grows with the number of rows, so fewer than ``MAX_LARGE`` groups can exceed it and
     the result may be broadcast.
     """
-    rows = sizes.agg(F.sum("n").alias("_rows"))
-    limit = F.greatest(F.lit(small).cast("bigint"), F.floor(F.col("_rows") / MAX_LARGE).cast("bigint"))
-    return sizes.crossJoin(F.broadcast(rows)).filter(F.col("n") > limit).select(key, "n")
+    rows = sizes.agg(F.sum("n")).scalar()
+    limit = F.greatest(F.lit(small).cast("bigint"), F.floor(rows / MAX_LARGE).cast("bigint"))
+    return sizes.filter(F.col("n") > limit).select(key, "n")
 
 
 def _gathered(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -11,10 +11,10 @@ from shopscope.functions.numeric import percent
 def with_total(grouped: DataFrame, column: str, alias: str) -> DataFrame:
     """Append the grand total of a column, for any number of groups.
 
-    The total is a one-row frame over the same grouped plan, whose exchange Spark reuses. An
+    The total is a scalar subquery over the same grouped plan, whose exchange Spark reuses. An
     unpartitioned window would pull every group into one task instead.
     """
-    return grouped.crossJoin(F.broadcast(grouped.agg(F.sum(column).alias(alias))))
+    return grouped.withColumn(alias, grouped.agg(F.sum(column)).scalar())
 
 
 def over_all(column: str) -> Column:

@@ -380,7 +380,7 @@ def analysis_date(facts: DataFrame) -> DataFrame:
 def customer_base(facts: DataFrame) -> DataFrame:
     """Customer 360 with the three scored measures, and the experience columns as a struct."""
     own = facts.select(*_customer_360(), F.struct(*_experience()[1:]).alias("experience"))
-    dated = own.crossJoin(F.broadcast(analysis_date(facts)))
+    dated = own.withColumn("analysis_date", analysis_date(facts).scalar())
     return dated.select(
         "*",
         F.datediff("analysis_date", F.col("last_purchase_timestamp").cast("date")).alias("recency_days"),

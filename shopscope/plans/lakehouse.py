@@ -68,11 +68,10 @@ class Lakehouse:
     def profile_a_year_earlier(self) -> DataFrame:
         """The customer profile as it was 365 days before the analysis date."""
         orders = self.silver["orders"]
-        last = orders.agg(F.max("order_purchase_timestamp").cast("date").alias("_last"))
-        cut = F.date_add("_last", 1 - 365)
-        known = orders.crossJoin(F.broadcast(last)).filter(F.col("order_purchase_timestamp").cast("date") < cut)
+        last = orders.agg(F.max("order_purchase_timestamp").cast("date")).scalar()
+        known = orders.filter(F.col("order_purchase_timestamp").cast("date") < F.date_add(last, 1 - 365))
         past = Lakehouse(self.raw, Workspace(self.workspace.spark, self.workspace.location("a_year_earlier")))
-        past.silver = self.silver.replacing(orders=known.drop("_last"))
+        past.silver = self.silver.replacing(orders=known)
         return past.customer_profile
 
     @cached_property

@@ -148,12 +148,13 @@ def delay_vs_review(orders: DataFrame, reviews: DataFrame) -> DataFrame:
         F.count_if("low").alias("lows"),
         *[F.sum(v.cast("decimal(28,0)")).alias(name) for name, v in {"sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}.items()],
     )
-    sums = by_bucket.agg(*[F.sum(name).cast("double").alias(f"t_{name}") for name in ("n", "sx", "sy", "sxy", "sxx", "syy")])
-    n, sx, sy, sxy, sxx, syy = (F.col(f"t_{name}") for name in ("n", "sx", "sy", "sxy", "sxx", "syy"))
+    names = ("n", "sx", "sy", "sxy", "sxx", "syy")
+    sums = by_bucket.agg(F.struct(*[F.sum(name).cast("double").alias(name) for name in names])).scalar()
+    n, sx, sy, sxy, sxx, syy = (F.col("sums")[name] for name in names)
     spread = F.sqrt((n * sxx - sx * sx) * (n * syy - sy * sy))
     correlation = F.round((n * sxy - sx * sy) / F.nullif(spread, F.lit(0.0)), 6)
     return (
-        by_bucket.crossJoin(F.broadcast(sums))
+        by_bucket.withColumn("sums", sums)
         .select(
             "delay_bucket",
             F.col("n").alias("orders"),
