@@ -27,11 +27,21 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """Writes named tables below one fresh folder and reads them back."""
+    """Writes named tables below one fresh folder and reads them back.
+
+    The folder goes when it is discarded, and at the latest when the application ends, as a result
+    that is computed lazily may read it until then.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
+        folder, system = self._folder()
+        system.deleteOnExit(folder)
+
+    def _folder(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
     def location(self, name: str) -> str:
         return f"{self.path}/{name}"
@@ -42,9 +52,8 @@ class Workspace:
 
     def discard(self) -> None:
         """Delete the folder, once nothing reads its tables any more."""
-        jvm, session = self.spark._jvm, self.spark._jsparkSession
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(session.sessionState().newHadoopConf()).delete(folder, True)
+        folder, system = self._folder()
+        system.delete(folder, True)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.location(name))

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from shopscope.catalog import CATALOG
 from tests.compare import connect, difference
 
 DIRECTORY = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = {name: query for name, query in entry_module.queries().items() if name in CATALOG}
+SQL = {name: sql for name, sql in entry_module.oracle_sql().items() if name in CATALOG}
 
 
 @pytest.fixture(scope="module")
