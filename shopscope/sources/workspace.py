@@ -37,7 +37,8 @@ class Workspace:
         self.spark = spark
         self.path = path or f"{shared_root(spark)}/run-{uuid.uuid4().hex}"
         folder, system = self._folder()
-        system.deleteOnExit(folder)
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)  # is forgotten for a folder that does not exist
 
     def _folder(self):
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
