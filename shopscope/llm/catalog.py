@@ -7,7 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shopscope.llm import byte_pairs, token_files
+from pyspark.sql import functions as F
+
+from shopscope.llm import byte_pairs, nearest, personal_data, token_files, toxicity, web_archives
+from shopscope.sources.workspace import Workspace
+
+
+#: A text is called toxic from this score on.
+TOXIC_FROM = 0.3
 
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -20,14 +27,47 @@ def op1_byte_pairs(spark: SparkSession, directory: str) -> DataFrame:
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
+def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    grammar = toxicity.learn(docs, table(spark, directory, "labels"))
+    scored = docs.select("doc_id", toxicity.held_out(docs["doc_id"]).alias("held_out"), toxicity.score(docs["text"], grammar).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
+def op5_web_archives(spark: SparkSession, directory: str) -> DataFrame:
+    records = web_archives.round_trip(spark, table(spark, directory, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri", "date")
+
+
 def op8_token_files(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
     records = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return records.select(records["key"].alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def neighbours(embeddings: DataFrame) -> DataFrame:
+    """Every vector whose id is divisible by 100 against all others."""
+    vectors = embeddings.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector"))
+    vectors = vectors.where(F.col("id").isNotNull() & nearest.valid(F.col("vector")))
+    return nearest.search(vectors, vectors.where(F.col("id") % 100 == 0), Workspace(embeddings.sparkSession))
+
+
+def op9_nearest(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours(table(spark, directory, "embeddings"))
+
+
+def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents")
+    found = personal_data.spans(docs["text"], personal_data.learn(docs))
+    return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
+    "op2_toxicity": op2_toxicity,
+    "op5_web_archives": op5_web_archives,
     "op8_token_files": op8_token_files,
+    "op9_nearest": op9_nearest,
+    "op10_personal_data": op10_personal_data,
 }
 SQL: dict[str, str] = {}
