@@ -79,13 +79,14 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
     return raw(ids)
 
 
-def digest(text: Column, rank_file: str, pattern: str) -> Column:
-    """Struct of n_tokens, ids_sha256 and decoded_sha256, without carrying the ids to the JVM.
+def digest(text: Column, rank_file: str, pattern: str, with_ids: bool = False) -> Column:
+    """Struct of n_tokens, ids_sha256 and decoded_sha256, and of the ids only if asked for.
 
     The ids are encoded as by ``encode`` and decoded as by ``decode``; the second digest is that of the decoded bytes.
     """
+    names = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)
     def summary(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoding = encoder(rank_file, pattern)
         for batch in texts:
@@ -97,8 +98,9 @@ def digest(text: Column, rank_file: str, pattern: str) -> Column:
                         len(tokens),
                         hashlib.sha256(" ".join(map(str, tokens)).encode()).hexdigest(),
                         hashlib.sha256(encoding.decode_bytes(tokens)).hexdigest(),
+                        *[tokens] * with_ids,
                     )
                 )
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pd.DataFrame(rows, columns=names)
 
     return summary(text)

@@ -9,14 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from shopscope.llm import byte_pairs, nearest, personal_data, token_files, toxicity, web_archives
+import corpus_pipeline
+from shopscope.llm import byte_pairs, conversations, decontamination, licenses, nearest, personal_data, token_files, toxicity, web_archives, weighted_dedup
 from shopscope.sources.workspace import Workspace
 
 
-#: A text is called toxic from this score on.
-TOXIC_FROM = 0.3
-
-
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
@@ -31,7 +28,15 @@ def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
     grammar = toxicity.learn(docs, table(spark, directory, "labels"))
     scored = docs.select("doc_id", toxicity.held_out(docs["doc_id"]).alias("held_out"), toxicity.score(docs["text"], grammar).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.TOXIC_FROM).cast("int"))
+
+
+def op3_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return weighted_dedup.classified(table(spark, directory, "documents"))
+
+
+def op4_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    return licenses.scan(table(spark, directory, "documents"))
 
 
 def op5_web_archives(spark: SparkSession, directory: str) -> DataFrame:
@@ -39,6 +44,15 @@ def op5_web_archives(spark: SparkSession, directory: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri", "date")
 
 
+def op6_conversations(spark: SparkSession, directory: str) -> DataFrame:
+    return conversations.rendered(table(spark, directory, "conversations"))
+
+
+def op7_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    docs, benchmark = table(spark, directory, "documents"), table(spark, directory, "benchmark")
+    return decontamination.find(docs, benchmark, Workspace(spark)).drop("body")
+
+
 def op8_token_files(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
     records = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -65,9 +79,18 @@ def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
     "op2_toxicity": op2_toxicity,
+    "op3_near_duplicates": op3_near_duplicates,
+    "op4_licenses": op4_licenses,
     "op5_web_archives": op5_web_archives,
+    "op6_conversations": op6_conversations,
+    "op7_decontamination": op7_decontamination,
     "op8_token_files": op8_token_files,
     "op9_nearest": op9_nearest,
     "op10_personal_data": op10_personal_data,
+    "pipeline": corpus_pipeline.run,
+}
+SQL: dict[str, str] = {
+    "op4_licenses": licenses.SQL,
+    "op6_conversations": conversations.SQL,
+    "op7_decontamination": decontamination.SQL,
 }
-SQL: dict[str, str] = {}

@@ -46,6 +46,9 @@ LEAST_WEIGHT = 3.0
 #: At most so many features are kept, by weight and frequency.
 FEATURES = 20_000
 
+#: A text is called toxic from this score on.
+TOXIC_FROM = 0.3
+
 Arc = tuple[str, str, float]
 
 
