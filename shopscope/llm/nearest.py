@@ -77,7 +77,10 @@ def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def centres(vectors: DataFrame, sample: int) -> dict[int, np.ndarray]:
     """The mean of the sampled vectors of each size."""
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    keyed = vectors.withColumn("order", F.xxhash64("id", F.hash("vector")))
+    # hashes first, so that no task sends more vectors than are wanted in all
+    last = keyed.select("order").distinct().orderBy("order").limit(sample).agg(F.max("order")).first()[0]
+    rows = keyed.where(F.col("order") <= F.lit(last).cast("long")).dropDuplicates(["order"]).orderBy("order").collect()
     sizes = {len(row["vector"]) for row in rows}
     return {size: np.mean([row["vector"] for row in rows if len(row["vector"]) == size], axis=0, dtype=np.float64) for size in sizes}
 

@@ -320,8 +320,10 @@ def fit(texts: list[str], windows: int = 2500, epochs: int = 10, hidden: int = 1
 def learn(docs: DataFrame, sample: int = 1200, characters: int = 6000) -> Finder:
     """Train on a bounded sample of the texts that hold a digit or an at-sign."""
     size = F.length("text")
-    fitting = docs.where((size > 0) & (size <= characters) & F.col("text").rlike("[0-9@]"))
-    rows = fitting.select("text", F.xxhash64("text").alias("order")).orderBy("order", "text").limit(sample).collect()
+    fitting = docs.where((size > 0) & (size <= characters) & F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("order"))
+    # hashes first, so that no task sends more texts than are wanted in all
+    last = fitting.select("order").distinct().orderBy("order").limit(sample).agg(F.max("order")).first()[0]
+    rows = fitting.where(F.col("order") <= F.lit(last).cast("long")).dropDuplicates(["order"]).orderBy("order").collect()
     return fit([row["text"] for row in rows])
 
 
