@@ -159,6 +159,13 @@ def join(starts: list[int], labels: np.ndarray) -> list[Span]:
     return found
 
 
+def whole(text: str, span: Span) -> Span:
+    """The span with the bracket that opens its first group, where the tagger has begun after it."""
+    start, end, kind = span
+    opens = kind == "phone" and start > 0 and text[start - 1] == "(" and text[start:end].count(")") > text[start:end].count("(")
+    return start - opens, end, kind
+
+
 def plausible(text: str, span: Span) -> bool:
     """Whether what the tagger found holds what its kind demands."""
     start, end, kind = span
@@ -200,7 +207,7 @@ class Finder:
             windows, owners = np.unique(np.concatenate([w for _, _, w in held]), axis=0, return_inverse=True)
             labels, at = self.tagger.decode(windows)[owners.reshape(-1)], 0
             for n, starts, own in held:
-                spans = join(starts, labels[at : at + len(own)])
+                spans = [whole(texts[n], s) for s in join(starts, labels[at : at + len(own)])]
                 at += len(own)
                 more[n] += [s for s in spans if not any(s[0] < e and b < s[1] for b, e, _ in base[n]) and plausible(texts[n], s)]
             held.clear()
