@@ -41,7 +41,7 @@ select p.person as customer_unique_id, a.city as customer_city, a.state as custo
   case when cards = greatest(cards, boletos, vouchers, debits) then 'credit_card'
        when boletos = greatest(boletos, vouchers, debits) then 'boleto'
        when vouchers >= debits then 'voucher' else 'debit_card' end as primary_payment_method
-from g_people p left join g_address a on a.person is not distinct from p.person"""
+from g_people p left join g_address a on a.person = p.person"""
 
 _CATEGORY = f"""
 with spend as (
@@ -83,7 +83,7 @@ select s.person as customer_unique_id, today as analysis_date, a.state as custom
   m as monetary_score, r + f + m as rfm_score, concat(r, f, m) as rfm_code, rq as recency_quintile, m as monetary_quintile,
   frequency > 1 as repeat_customer, delivered as delivered_orders, {quotient("monetary_c", "paid_n * 100", 2)} as average_order_value,
   segment as customer_segment
-from g_segments s left join g_address a on a.person is not distinct from s.person"""
+from g_segments s left join g_address a on a.person = s.person"""
 
 _FEELINGS = f"""
 {mean("avg_days_e10", 2, 10**10)} as average_delivery_days, {mean("late_rate_c", 2)} as average_late_order_rate_pct,
@@ -168,5 +168,5 @@ select segment as customer_segment, count(*) as customers, {_FEELINGS} from g_pr
     "view_retention_opportunities": f"""
 select segment as customer_segment, count(*) as customers, {money("sum(monetary_c)")} as associated_revenue, {_VALUE}, {_RECENCY},
   {_FEELINGS}
-from g_profile where person is not null and segment not in ('High-Value Repeat', 'Established One-Time') group by 1""",
+from g_profile where person is not null and segment in ('High-Value One-Time', 'Developing Repeat', 'Recent One-Time', 'Low-Value Inactive') group by 1""",
 }

@@ -10,9 +10,19 @@ import re
 from oracles.exact import half_up
 from shopscope.sources.testdata import ADAPTERS, BASE_TABLES
 
-LAYERS: dict[str, str] = {
-    f"b_{name}": text.format(**{table: table for table in BASE_TABLES}).strip() for name, text in ADAPTERS.items()
-}
+
+
+def _raw(name: str) -> str:
+    """The adapter's rows; trailing blanks of fixed-width columns do not count."""
+    text = ADAPTERS[name].format(**{table: table for table in BASE_TABLES}).strip()
+    fixed = {"customers": "customer", "sellers": "seller", "geolocation": "geolocation"}.get(name)
+    if fixed is None:
+        return text
+    columns = ", ".join(f"rtrim({fixed}_{column}) as {fixed}_{column}" for column in ("zip_code_prefix", "state"))
+    return f"select * replace ({columns}) from ({text}) x"
+
+
+LAYERS: dict[str, str] = {f"b_{name}": _raw(name) for name in ADAPTERS}
 
 LAYERS["s_customers"] = """
 select customer_id, customer_unique_id, lpad(rtrim(customer_zip_code_prefix), 5, '0') as zip,
@@ -145,9 +155,9 @@ from g_people p, g_day"""
 LAYERS["g_segments"] = """
 select s.*, case
     when frequency > 1 then case when m > 3 then 'High-Value Repeat' else 'Developing Repeat' end
-    when m > 3 then 'High-Value One-Time'
-    when rq > 3 then 'Recent One-Time'
-    when m < 3 and rq < 3 then 'Low-Value Inactive'
+    when frequency = 1 and m > 3 then 'High-Value One-Time'
+    when frequency = 1 and rq > 3 then 'Recent One-Time'
+    when frequency = 1 and m < 3 and rq < 3 then 'Low-Value Inactive'
     else 'Established One-Time' end as segment
 from g_scores s"""
 

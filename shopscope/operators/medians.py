@@ -1,7 +1,8 @@
-"""Exact median per group when group sizes are unknown.
+"""Exact median per group, whatever the sizes of the groups.
 
-Groups up to a size limit are sorted inside one aggregate. Larger ones, at most ``MAX_LARGE`` of
-them by construction, go through digit-wise selection, which never gathers a group.
+All rows are range-sorted by (key, value), which spreads a large group over partitions, and numbered. A group's ranks
+are consecutive, so its smallest rank and its size give the ranks of its middle, and one join on the unique rank fetches
+the values there. No step holds a group together.
 """
 
 from __future__ import annotations
@@ -9,50 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopscope.operators.order_stats import interpolated, quantiles_by_group
+from shopscope.operators.ranking import rank_rows
+from shopscope.sources.workspace import Workspace
 
-SMALL_GROUP = 50_000
-MAX_LARGE = 100_000
 
-
-def large_groups(sizes: DataFrame, key: str, small: int = SMALL_GROUP) -> DataFrame:
-    """(key, n) of the groups above the limit.
-
-    The limit grows with the number of rows, so fewer than ``MAX_LARGE`` groups can exceed it and
-    the result may be broadcast.
-    """
-    rows = sizes.agg(F.sum("n")).scalar()
-    limit = F.greatest(F.lit(small).cast("bigint"), F.floor(rows / MAX_LARGE).cast("bigint"))
-    return sizes.filter(F.col("n") > limit).select(key, "n")
-
-
-def _gathered(rows: DataFrame, key: str, value: str) -> DataFrame:
-    """Median by sorting each group inside its aggregate, for groups of limited size."""
-    sorted_values = rows.groupBy(key).agg(F.sort_array(F.collect_list(value)).alias("v"))
-    last = F.size("v") - 1
-    middle = F.col("v")[F.floor(last / 2).cast("int")] + F.col("v")[F.ceil(last / 2).cast("int")]
-    return sorted_values.select(key, (middle / F.lit(2).cast("decimal(1,0)")).cast("decimal(18,11)").alias("median"))
-
-
-def median_by_key(rows: DataFrame, sizes: DataFrame, key: str, value: str, small: int = SMALL_GROUP) -> DataFrame:
-    """(key, median) of a non-NULL decimal(16,10) ``value``; ``sizes`` holds (key, n) for every key.
-
-    ``sizes`` should be a stored table: it is looked at first, so that the usual case of no large
-    group pays for nothing else.
-    """
-    large = large_groups(sizes, key, small)
-    if large.isEmpty():
-        return _gathered(rows, key, value)
-    same = rows[key].eqNullSafe(large[key])
-    small_medians = _gathered(rows.join(F.broadcast(large), same, "left_anti"), key, value)
-
-    # A NULL key is a group like any other; the marker keeps it joinable.
-    marked = [F.col(key).isNull().alias("_none"), F.coalesce(key, F.lit("")).alias(key)]
-    scaled = (F.col(value) * F.lit(10**10).cast("decimal(11,0)")).cast("bigint").alias("v")
-    big_rows = rows.join(F.broadcast(large), same, "left_semi").select(*marked, scaled)
-    found = quantiles_by_group(big_rows, large.select(*marked, "n"), ["_none", key], [50])
-    unscaled = interpolated() / F.lit(10**10).cast("decimal(11,0)")
-    big_medians = found.select(
-        F.when(~F.col("_none"), F.col(key)).alias(key), unscaled.cast("decimal(18,11)").alias("median")
-    )
-    return small_medians.unionByName(big_medians)
+def median_by_key(rows: DataFrame, key: str, value: str, workspace: Workspace, name: str) -> DataFrame:
+    """(key, median) of a non-NULL decimal(16,10) ``value``; a NULL key is a group like any other."""
+    ranked = rank_rows(rows, key, value, workspace, name).with_rank().select(F.col("value").alias(key), "rank", F.col("id").alias("v"))
+    groups = ranked.groupBy(key).agg(F.min("rank").alias("first"), F.count("*").alias("n"))
+    middle = F.array_distinct(F.array(F.expr("first + (n - 1) div 2"), F.expr("first + n div 2")))
+    wanted = groups.select(F.explode(middle).alias("rank"))
+    found = ranked.join(wanted, "rank", "left_semi").groupBy(key).agg(F.min("v").alias("low"), F.max("v").alias("high"))
+    half = (F.col("low") + F.col("high")) / F.lit(2).cast("decimal(1,0)")
+    return found.select(key, half.cast("decimal(18,11)").alias("median"))

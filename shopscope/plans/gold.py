@@ -19,7 +19,7 @@ from pyspark.util import inheritable_thread_target
 from shopscope.functions.numeric import MONEY, cents, from_cents, mean, money_percent, percent, ratio
 from shopscope.operators.distinct import sums_and_distincts
 from shopscope.operators.keys import key_counts, surplus
-from shopscope.operators.medians import SMALL_GROUP, median_by_key
+from shopscope.operators.medians import median_by_key
 from shopscope.operators.nulls import spread_null_key
 from shopscope.operators.ranking import rank_rows, tile_of_key
 from shopscope.sources.workspace import Workspace
@@ -217,7 +217,8 @@ def customer_facts(summary: DataFrame, customers: DataFrame) -> DataFrame:
         F.max("maximum_order_value").alias("maximum_order_value"),
         F.min("first_purchase_timestamp").alias("first_purchase_timestamp"),
         F.max("last_purchase_timestamp").alias("last_purchase_timestamp"),
-        F.max(latest)["address"].alias("address"),
+        # a person without id has no account of their own, so no address either
+        F.when(F.col(PERSON).isNotNull(), F.max(latest)["address"]).alias("address"),
     )
 
 
@@ -302,14 +303,13 @@ def _experience() -> list[Column]:
 
 
 def customer_experience(
-    facts: DataFrame, orders: DataFrame, customers: DataFrame, small: int = SMALL_GROUP
+    facts: DataFrame, orders: DataFrame, customers: DataFrame, workspace: Workspace
 ) -> DataFrame:
     rates = facts.select(*_experience())
     pairs = customers.select("customer_id", PERSON).distinct()
     delivered = orders.filter("delivery_days is not null").select("customer_id", "delivery_days")
     rows = delivered.join(pairs, "customer_id").select(PERSON, "delivery_days")
-    sizes = facts.select(PERSON, F.col("delivery_n").alias("n"))
-    medians = median_by_key(rows, sizes, PERSON, "delivery_days", small).withColumnRenamed(PERSON, "_person")
+    medians = median_by_key(rows, PERSON, "delivery_days", workspace, "rank_delivery").withColumnRenamed(PERSON, "_person")
     joined = rates.join(medians, F.col(PERSON).eqNullSafe(F.col("_person")), "left")
     order = rates.columns
     order.insert(order.index("average_delivery_days") + 1, "median_delivery_days")

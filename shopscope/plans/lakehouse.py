@@ -54,7 +54,7 @@ class Lakehouse:
 
     @cached_property
     def customer_experience(self) -> DataFrame:
-        return gold.customer_experience(self.stored_facts, self.silver["orders"], self.silver["customers"])
+        return gold.customer_experience(self.stored_facts, self.silver["orders"], self.silver["customers"], self.workspace)
 
     @cached_property
     def customer_intelligence(self) -> DataFrame:

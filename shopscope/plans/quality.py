@@ -1,8 +1,8 @@
 """The catalogue of 53 data-quality rules on the raw tables, two deep dives, and a scorecard.
 
 Each rule is declared once, by kind. ``run`` answers one rule the way a user would ask it;
-``scorecard`` answers all of them with one pass per table for the row conditions and one aggregate
-per key for the duplicate and orphan rules.
+``scorecard`` answers all of them with one pass per table for the row conditions and one for all
+its keys, which meet in a single count for the duplicate, orphan and domain rules.
 """
 
 from __future__ import annotations
@@ -115,8 +115,8 @@ RULES: dict[str, Rule] = {
     "dq_010": Orphans("order_items", "order_id", "orders", "orphan_order_items"),
     "dq_011": Orphans("order_items", "product_id", "products", "orphan_product_references"),
     "dq_012": Orphans("order_items", "seller_id", "sellers", "orphan_seller_references"),
-    "dq_013": _rows("order_items", invalid_price_records="not coalesce(price >= 0, false)"),
-    "dq_014": _rows("order_items", invalid_freight_records="not coalesce(freight_value >= 0, false)"),
+    "dq_013": _rows("order_items", invalid_price_records="price < 0 or price is null"),
+    "dq_014": _rows("order_items", invalid_freight_records="freight_value < 0 or freight_value is null"),
     "dq_015": _missing(
         "payments",
         missing_order_id="order_id",
@@ -131,8 +131,8 @@ RULES: dict[str, Rule] = {
         zero_payment_values="payment_value = 0",
     ),
     "dq_018": Domain("payments", "payment_type"),
-    "dq_019": _rows("payments", invalid_installments="not coalesce(payment_installments >= 1, false)"),
-    "dq_020": _rows("reviews", invalid_review_scores="not coalesce(review_score between 1 and 5, false)"),
+    "dq_019": _rows("payments", invalid_installments="payment_installments <= 0 or payment_installments is null"),
+    "dq_020": _rows("reviews", invalid_review_scores="review_score not between 1 and 5 or review_score is null"),
     "dq_021": _missing("reviews", missing_review_id="review_id", missing_order_id="order_id"),
     "dq_022": Orphans("reviews", "order_id", "orders", "orphan_reviews"),
     "dq_023": RepeatedKeys("reviews", ("review_id",), "duplicate_count"),
@@ -193,8 +193,8 @@ RULES: dict[str, Rule] = {
         missing_city="geolocation_city",
         missing_state="geolocation_state",
     ),
-    "dq_043": _rows("geolocation", invalid_latitude="abs(geolocation_lat) > 90"),
-    "dq_044": _rows("geolocation", invalid_longitude="abs(geolocation_lng) > 180"),
+    "dq_043": _rows("geolocation", invalid_latitude="geolocation_lat not between -90 and 90"),
+    "dq_044": _rows("geolocation", invalid_longitude="geolocation_lng not between -180 and 180"),
     "dq_045": SeveralPerKey(
         "geolocation", "geolocation_zip_code_prefix", "geolocation_state", listed="state_count"
     ),
@@ -295,6 +295,62 @@ def _from_row(frame: DataFrame, columns: dict[str, str]) -> DataFrame:
     return frame.select(F.inline(F.array(*pairs)))
 
 
+def _domain(rule: Rule) -> str:
+    """The name of the keys that a rule counts; the same key column of several tables is one domain."""
+    match rule:
+        case RepeatedKeys():
+            return "+".join(rule.keys)
+        case Domain():
+            return rule.column
+        case _:
+            return rule.key
+
+
+def _key(domain: str) -> Column:
+    """The key as text; parts of a longer key are kept apart and a missing part is a value of its own."""
+    columns = domain.split("+")
+    if len(columns) == 1:
+        return F.col(domain).cast("string")
+    return F.concat_ws("\u0001", *[F.coalesce(F.col(column).cast("string"), F.lit("\u0002")) for column in columns])
+
+
+def _counted_keys(raw: Raw, rules: Mapping[str, Rule]) -> DataFrame:
+    """Every key of every domain with its number of rows in each table: each table is read once and all meet in one shuffle."""
+    domains: dict[str, set[str]] = {}
+    for rule in rules.values():
+        for table in (rule.child, rule.parent) if isinstance(rule, Orphans) else (rule.table,):
+            domains.setdefault(table, set()).add(_domain(rule))
+    tagged = [
+        raw[table]
+        .select(F.inline(F.array(*[F.struct(F.lit(domain).alias("domain"), _key(domain).alias("key")) for domain in sorted(own)])))
+        .withColumn("table", F.lit(table))
+        for table, own in domains.items()
+    ]
+    rows = reduce(DataFrame.unionByName, tagged)
+    return rows.groupBy("domain", "key").agg(*[F.count_if(F.col("table") == table).alias(table) for table in domains])
+
+
+def _violations(rule: Rule) -> Column:
+    """What a rule counts, from the counted keys."""
+    here, known = F.col("domain") == _domain(rule), F.col("key").isNotNull()
+
+    def rows(table: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(here & condition, F.col(table))), F.lit(0))
+
+    match rule:
+        case Orphans():
+            lonely = (F.col(rule.parent) == 0) | ~known
+            if rule.distinct:
+                return F.count_if(here & known & lonely & (F.col(rule.child) > 0))
+            return rows(rule.child, lonely & known if rule.skip_null else lonely)
+        case UniqueKey():
+            return rows(rule.table, F.lit(True)) - F.count_if(here & known & (F.col(rule.table) > 0))
+        case RepeatedKeys():
+            return F.count_if(here & (F.col(rule.table) > 1))
+        case Domain():
+            return F.count_if(here & (F.col(rule.table) > 0))
+
+
 def scorecard(raw: Raw) -> DataFrame:
     """One row per rule: violations and whether it passed; domain rules report their value count."""
     parts: list[DataFrame] = []
@@ -309,31 +365,14 @@ def scorecard(raw: Raw) -> DataFrame:
         one_row = raw[table].agg(*[column.alias(name) for name, column in counts.items()])
         parts.append(_from_row(one_row, {name: name for name in counts}))
 
-    # Orphans: rules over the same relationship share one anti join.
-    relations: dict[tuple[str, str, str, bool], dict[str, Orphans]] = {}
-    for name, rule in RULES.items():
-        if isinstance(rule, Orphans):
-            relations.setdefault((rule.child, rule.key, rule.parent, rule.skip_null), {})[name] = rule
-    for rules in relations.values():
-        found = _orphans(raw, next(iter(rules.values())))
-        aggregates = [
-            (F.count(rule.key) if rule.distinct else F.coalesce(F.sum("n"), F.lit(0))).alias(name)
-            for name, rule in rules.items()
-        ]
-        parts.append(_from_row(found.agg(*aggregates), {name: name for name in rules}))
+    # Keys: duplicates, orphans and domains from one count of all keys.
+    keyed = {name: rule for name, rule in RULES.items() if isinstance(rule, (Orphans, UniqueKey, RepeatedKeys, Domain))}
+    one_row = _counted_keys(raw, keyed).agg(*[_violations(rule).alias(name) for name, rule in keyed.items()])
+    parts.append(_from_row(one_row, {name: name for name in keyed}))
 
     for name, rule in RULES.items():
-        match rule:
-            case UniqueKey():
-                parts.append(_from_row(run(name, raw), {name: rule.names[2]}))
-            case RepeatedKeys():
-                counts = key_counts(raw[rule.table], *rule.keys)
-                parts.append(_from_row(counts.agg(F.count_if(F.col("n") > 1).alias(name)), {name: name}))
-            case SeveralPerKey():
-                parts.append(_from_row(_several(raw, rule, "n").agg(F.count("*").alias(name)), {name: name}))
-            case Domain():
-                values = raw[rule.table].select(rule.column).distinct()
-                parts.append(_from_row(values.agg(F.count("*").alias(name)), {name: name}))
+        if isinstance(rule, SeveralPerKey):
+            parts.append(_from_row(_several(raw, rule, "n").agg(F.count("*").alias(name)), {name: name}))
 
     result = reduce(DataFrame.unionByName, parts)
     entity = F.create_map(*[F.lit(x) for name, rule in RULES.items() for x in (name, _entity(rule))])

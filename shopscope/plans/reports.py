@@ -190,11 +190,11 @@ def late_rate_by_route(silver: Mapping[str, DataFrame]) -> DataFrame:
     places = silver["customers"].select("customer_id", "customer_state").distinct()
     origins = silver["sellers"].select("seller_id", "seller_state").distinct()
     buyers = orders.join(places, "customer_id").select("order_id", "customer_state", "late")
-    routed = shipments.join(buyers, "order_id").join(origins, "seller_id")
-    rows = routed.groupBy("seller_id", "seller_state", "customer_state").agg(
+    # a seller's shipments become a row a customer state before they meet the seller
+    rows = shipments.join(buyers, "order_id").groupBy("seller_id", "customer_state").agg(
         F.count("*").alias("known"), F.sum("late").alias("late")
     )
-    routes = _late_counts(rows.groupBy("seller_state", "customer_state"))
+    routes = _late_counts(rows.join(origins, "seller_id").groupBy("seller_state", "customer_state"))
     return routes.orderBy("seller_state", "customer_state")
 
 

@@ -6,12 +6,13 @@ empty string, and a quote inside a quoted field is doubled.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shopscope.sources.schemas import AUDIT_SCHEMA, RAW_SCHEMAS
+from shopscope.sources.schemas import AUDIT_SCHEMA, RAW_SCHEMAS, unpadded
 
 # Spark takes an unquoted empty field for NULL as soon as the NULL marker is anything but empty;
 # this marker cannot occur in the text of a database export.
@@ -30,16 +31,19 @@ def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool | None
         kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
         parsed = F.from_csv("record", kinds, {**_FORMAT, "lineSep": "\n"})
         return multi_line_records(spark, path).select(parsed.alias("row")).select("row.*")
-    return spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **_FORMAT)
+    return unpadded(spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **_FORMAT), table)
 
 
 def multi_line_records(spark: SparkSession, path: str) -> DataFrame:
     """CSV records with quoted line breaks, from files that are still read in splits.
 
     Spark's own multi-line mode gives a whole file to one task. Here every split counts the quotes
-    of its lines; the parity up to a line tells whether it starts a record. Lines are grouped
-    within their split, splits within their file, and only the lines of broken records are
-    shuffled again to be joined.
+    of its lines; the parity up to a line tells whether it starts a record. All lines are shuffled
+    to their split once, splits are put in order within their file, and only the lines of broken
+    records are shuffled again to be joined. A file with an odd number of quotes has one that is
+    never closed; it fails by name before any line is joined. With an even number of stray quotes
+    the lines between two of them are one record, as in any CSV reader. Blank lines outside of
+    quotes are skipped.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -52,7 +56,15 @@ def multi_line_records(spark: SparkSession, path: str) -> DataFrame:
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
 
     parity = lines.groupBy("file", "split").agg(F.sum("odd").alias("quotes"))
-    opened = parity.select("file", "split", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)).alias("open"))
+    unclosed = F.pmod(F.sum("quotes").over(Window.partitionBy("file")), F.lit(2)) == 1
+    message = F.concat(F.lit("a quote is never closed in "), F.col("file"))
+    opened = parity.select(
+        "file",
+        "split",
+        F.when(unclosed, F.raise_error(message).cast("bigint"))
+        .otherwise(F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
+        .alias("open"),
+    )
     before = F.col("open") + F.sum("odd").over(in_split) - F.col("odd")
     marked = lines.join(opened, ["file", "split"]).withColumn("start", F.pmod(before, F.lit(2)) == 0)
     numbered = marked.withColumn("number", F.sum(F.col("start").cast("int")).over(in_split))
@@ -93,16 +105,22 @@ def write_csv(df: DataFrame, path: str) -> None:
 def load(spark: SparkSession, files: dict[str, str], target: str) -> dict[str, DataFrame]:
     """Replace ``target/<table>`` by the content of each CSV and log it in ``target/load_audit``.
 
-    Rows are counted while they are written. A failing load raises and leaves no audit row.
+    Independent loads are submitted together and rows are counted while they are written. The log
+    has a row for each load that ended well; the first failure is raised after the others are done.
     """
-    audit = f"{target}/load_audit"
-    spark.createDataFrame([], AUDIT_SCHEMA).write.mode("overwrite").parquet(audit)
-    for table, path in files.items():
+
+    def one(table: str) -> tuple:
         seen = Observation(f"load_{table}")
-        counted = read_csv(spark, table, path).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = read_csv(spark, table, files[table]).observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").parquet(f"{target}/{table}")
-        entry = (table, datetime.now(UTC).replace(tzinfo=None), seen.get["rows"], "SUCCESS")
-        spark.createDataFrame([entry], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(audit)
+        return table, datetime.now(UTC).replace(tzinfo=None), seen.get["rows"], "SUCCESS"
+
+    with ThreadPoolExecutor(max(1, len(files))) as pool:
+        loads = [pool.submit(one, table) for table in files]
+    done = [load.result() for load in loads if load.exception() is None]
+    spark.createDataFrame(done, AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{target}/load_audit")
+    for load in loads:
+        load.result()
     return {table: spark.read.schema(RAW_SCHEMAS[table]).parquet(f"{target}/{table}") for table in files}
 
 

@@ -91,6 +91,19 @@ AUDIT_SCHEMA = _table(
 )
 
 
+# Columns of fixed width, in which trailing blanks do not count.
+FIXED_WIDTH = {
+    "customers": ("customer_zip_code_prefix", "customer_state"),
+    "sellers": ("seller_zip_code_prefix", "seller_state"),
+    "geolocation": ("geolocation_zip_code_prefix", "geolocation_state"),
+}
+
+
+def unpadded(df: DataFrame, table: str) -> DataFrame:
+    """The frame without the blanks that fill up its fixed-width columns."""
+    return df.withColumns({name: F.rtrim(name) for name in FIXED_WIDTH.get(table, ())})
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project and cast a frame onto the declared schema of ``table``."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[table].fields])
+    return unpadded(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[table].fields]), table)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopscope.operators.distinct import sums_and_distincts
 from shopscope.operators.keys import key_counts, orphan_keys, surplus, total
-from shopscope.operators.medians import large_groups, median_by_key
+from shopscope.operators.medians import median_by_key
 from shopscope.operators.nulls import spread_null_key
 
 
@@ -19,22 +19,18 @@ def _rows():
     return [(person, Decimal(rng.randrange(1, 10**12)).scaleb(-10)) for person in people]
 
 
-@pytest.mark.parametrize("small", [3, 100, 10_000])
-def test_median_does_not_depend_on_the_path(spark, workspace, small):
+def test_median_of_hot_and_null_people(spark, workspace):
     rows = spark.createDataFrame(_rows(), "k string, v decimal(16,10)")
-    sizes = workspace.store("sizes", rows.groupBy("k").agg(F.count("*").alias("n")))
-    found = {row["k"]: row["median"] for row in median_by_key(rows, sizes, "k", "v", small).collect()}
+    medians = median_by_key(rows, "k", "v", workspace, "ranks")
+    plan = medians._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "SinglePartition" not in plan
+    found = {row["k"]: row["median"] for row in medians.collect()}
     expected: dict = {}
     for key, value in _rows():
         expected.setdefault(key, []).append(value)
     assert found == {key: median(values) for key, values in expected.items()}
 
 
-def test_large_groups_are_bounded_by_the_row_count(spark):
-    sizes = spark.createDataFrame([("a", 10**12), ("b", 10**6), ("c", 10**8)], "k string, n long")
-    assert {row["k"] for row in large_groups(sizes, "k").collect()} == {"a", "c"}
-
-
 def test_sums_and_distincts(spark):
     rows = [("a", 1, None, 5), ("a", 1, "x", 5), ("a", 2, "x", None), (None, None, None, 1), ("b", None, "y", 0)]
     df = spark.createDataFrame(rows, "k string, p int, s string, v int")
