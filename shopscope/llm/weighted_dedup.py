@@ -5,11 +5,10 @@
 2. Nodes that share a band meet in a bucket. Each bucket compares its members with one of them (the smallest), which
    is a pair a member and not all pairs. Candidate pairs read both texts again and keep links of exact multiset
    similarity from ``THRESHOLD`` on.
-3. Components of the links so far tell which buckets still hold members of different components that haven't been
-   compared. Such buckets go on: small ones compare the members of different components, large ones the member of
-   their smallest component with those of others, round after round until no bucket is left. So no link between
-   different texts of a bucket that would join two components is lost, and a bucket of thousands of near copies ends
-   after its first round.
+3. Components of these links tell which buckets still hold members of different components. Their members are written
+   in blocks of bounded size, and pairs of blocks are compared all against all, exactly, as products of incidence
+   matrices. A pair of blocks returns only links that join components, so its result is never larger than its members,
+   and no link between different texts of a bucket that would join two components is lost.
 4. Every document gets the class of its node: the smallest doc_id of the component.
 
 Two texts of similarity 0.8 share one of the 25 bands of 5 with a probability of 99.995 %.
@@ -21,6 +20,7 @@ an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +32,14 @@ from pyspark.sql import functions as F
 from shopscope.llm import bag_min_hash
 from shopscope.llm.batches import pieces
 from shopscope.llm.components import components
-from shopscope.llm.shingles import Words, overlap
+from shopscope.llm.shingles import STEP, Words, mix, overlap
+from shopscope.llm.storage import Output, reader
 from shopscope.sources.workspace import Workspace
 
 THRESHOLD = 0.8
 COMPONENTS, ROWS = 125, 5
-#: Buckets up to this size compare all members of different components in their second round.
-SMALL_BUCKET = 16
+#: Members and shingles that a block of a bucket has on average, at most.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 384, 400_000
 #: Rows and bytes of text that a task works on at once.
 PIECE_ROWS, PIECE_BYTES = 2000, 6 << 20
 
@@ -115,51 +116,149 @@ def _similar_size(a: Column, b: Column) -> Column:
     return F.least(a, b) >= THRESHOLD * F.greatest(a, b)
 
 
-def _next_pairs(left: DataFrame) -> DataFrame:
-    """Pairs of a further round; ``left`` has key, print, size, root and the bucket's number of members."""
-    small = left.where(F.col("members") <= SMALL_BUCKET)
-    other = small.select("key", *[F.col(c).alias(f"{c}_b") for c in ("print", "size", "root")])
-    among = small.join(other, "key").where((F.col("print") < F.col("print_b")) & (F.col("root") != F.col("root_b")))
-    large = left.where(F.col("members") > SMALL_BUCKET)
-    lead = large.select("key", "lead").distinct().select("key", "lead.*")
-    lead = lead.select("key", *[F.col(c).alias(f"{c}_b") for c in ("print", "size", "root")])
-    against = large.drop("lead").join(lead, "key").where(F.col("root") != F.col("root_b"))
-    every = among.select("print", "size", "print_b", "size_b").unionByName(against.select("print", "size", "print_b", "size_b"))
-    fitting = every.where(_similar_size(F.col("size"), F.col("size_b")))
-    return fitting.select(F.least("print", "print_b").alias("a"), F.greatest("print", "print_b").alias("b")).distinct()
-
-
 def links(docs: DataFrame, nodes: DataFrame, workspace: Workspace) -> DataFrame:
     """(node, root) of all nodes that are linked; ``nodes`` has print, size, bands."""
     keys = nodes.select("print", "size", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min(F.struct("print", "size")).alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = keys.join(buckets, "key").select("key", "print", "size", "lead", "members")
+    members = keys.join(buckets, "key").select("key", "print", "size", "lead")
     members = workspace.store("members", members.where(F.col("print") != F.col("lead.print")))
     first = members.where(_similar_size(F.col("size"), F.col("lead.size")))
-    pairs = workspace.store("pairs_1", first.select(F.col("lead.print").alias("a"), F.col("print").alias("b")).distinct())
+    pairs = workspace.store("pairs", first.select(F.col("lead.print").alias("a"), F.col("print").alias("b")).distinct())
     # only texts of nodes that share a bucket are read again, one document for each
     wanted = members.select("print").union(members.select("lead.print")).distinct()
     printed_docs = docs.select(F.col("text").cast("string").alias("text")).withColumn("print", printed(F.col("text")))
     texts = workspace.store("texts", printed_docs.join(wanted, "print", "left_semi").dropDuplicates(["print"]))
-    found = workspace.store("links_1", verify(pairs, texts))
-    compared, number = pairs, 1
-    left = members.drop("lead", "members")
-    while True:
-        roots = components(found, workspace, f"round_{number}")
-        named = left.join(roots, left["print"] == roots["node"], "left").select("key", "print", "size", F.coalesce("root", "print").alias("root"))
-        groups = named.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("print", "size")).alias("m"))
-        lead = F.min(F.struct("n", F.struct(F.col("m.print").alias("print"), F.col("m.size").alias("size"), "root").alias("lead")))
-        open_ones = groups.groupBy("key").agg(F.sum("n").alias("members"), F.count(F.lit(1)).alias("roots"), lead.alias("smallest")).where("roots > 1")
-        open_ones = open_ones.select("key", "members", F.col("smallest.lead").alias("lead"))
-        number += 1
-        named = workspace.store(f"left_{number}", named.join(open_ones, "key"))
-        if named.isEmpty():
-            return roots
-        pairs = workspace.store(f"pairs_{number}", _next_pairs(named).join(compared, ["a", "b"], "left_anti"))
-        compared = compared.unionByName(pairs)
-        if not pairs.isEmpty():
-            found = found.unionByName(workspace.store(f"links_{number}", verify(pairs, texts)))
-        left = named.where((F.col("members") > SMALL_BUCKET) & (F.col("print") != F.col("lead.print"))).select("key", "print", "size")
+    found = workspace.store("links", verify(pairs, texts).select("a", "b"))
+    roots = components(found, workspace, "leaders")
+    named = members.select("key", "print", "size").join(roots, members["print"] == roots["node"], "left")
+    named = workspace.store("named", named.select("key", "print", "size", F.coalesce("root", "print").alias("root")))
+    still = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"), F.sum("size").alias("shingles"))
+    rest = workspace.store("rest", named.join(still.where("low != high").select("key", "members", "shingles"), "key"))
+    if rest.isEmpty():
+        return roots
+    more = workspace.store("more_links", block_links(rest, texts, workspace))
+    return components(found.unionByName(more), workspace, "all")
+
+
+def elements(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A multiset as a set: one hash for each occurrence, so that set similarity is weighted similarity."""
+    place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.sort(mix(np.repeat(shingle, count) + place.astype(np.uint64) * STEP))
+
+
+BLOCK = "key long, block int, path string, start long, length long, low binary, high binary"
+BLOCK_SCHEMA = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("path", pa.string()), ("start", pa.int64()), ("length", pa.int64()), ("low", pa.binary()), ("high", pa.binary())])
+
+
+def write_blocks(rows: DataFrame, folder: str) -> DataFrame:
+    """Blocks of bucket members in files; a row each with its place, and the smallest and largest root in it.
+
+    ``rows`` has key, block, print, root and elements.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, held, current, done = None, [], None, []
+        for batch in pieces(batches, 256):
+            for key, block, *member in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, block) != current and held:
+                    out = out or Output(folder, ".blocks")
+                    done.append(_written(out, current, held))
+                    held = []
+                current = (key, block)
+                held.append(member)
+        if held:
+            out = out or Output(folder, ".blocks")
+            done.append(_written(out, current, held))
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_pylist(done, BLOCK_SCHEMA)
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.select("key", "block", "print", "root", "elements").repartition(parts, "key", "block").sortWithinPartitions("key", "block", "print")
+    return ordered.mapInArrow(task, BLOCK)
+
+
+def _written(out: Output, name: tuple[int, int], members: list) -> dict:
+    roots = [root for _, root, _ in members]
+    data = pickle.dumps(members, protocol=5)
+    return {"key": name[0], "block": name[1], "path": out.uri, "start": out.write(data), "length": len(data), "low": min(roots), "high": max(roots)}
+
+
+def _incidence(members: list, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Member and column of each of the members' elements that are among ``shared``."""
+    sizes = [len(e) // 8 for _, _, e in members]
+    values = np.frombuffer(b"".join(e for _, _, e in members), np.uint64)
+    column = np.minimum(np.searchsorted(shared, values), max(0, len(shared) - 1))
+    inside = shared[column] == values if len(shared) else np.zeros(len(values), bool)
+    return np.repeat(np.arange(len(members)), sizes)[inside], column[inside]
+
+
+def compare_blocks(left: list, right: list, strip: int = 4096) -> list[tuple[bytes, bytes]]:
+    """Links between members of different roots that have the similarity; no more than join the roots up."""
+    spread = lambda members: np.unique(np.frombuffer(b"".join(e for _, _, e in members), np.uint64))
+    shared = np.intersect1d(spread(left), spread(right), assume_unique=True)
+    (row_a, column_a), (row_b, column_b) = _incidence(left, shared), _incidence(right, shared)
+    common = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, len(shared), strip):
+        a, b = np.zeros((len(left), strip), np.float32), np.zeros((len(right), strip), np.float32)
+        for matrix, row, column in ((a, row_a, column_a), (b, row_b, column_b)):
+            here = (column >= low) & (column < low + strip)
+            matrix[row[here], column[here] - low] = 1
+        common += a @ b.T
+    sizes = [np.array([len(e) // 8 for _, _, e in members], np.float64) for members in (left, right)]
+    either = sizes[0][:, None] + sizes[1] - common
+    parent: dict[bytes, bytes] = {}
+
+    def find(x: bytes) -> bytes:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    joined = []
+    for i, j in zip(*np.nonzero(common >= THRESHOLD * either)):
+        a, b = find(left[i][1]), find(right[j][1])
+        if a != b:
+            parent[a] = b
+            joined.append((left[i][0], right[j][0]))
+    return joined
+
+
+def block_links(rest: DataFrame, texts: DataFrame, workspace: Workspace) -> DataFrame:
+    """Links (a, b) that join different roots within the buckets of ``rest`` (key, print, root, members, shingles)."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1000, 1, PIECE_BYTES):
+            owner, shingle, count = Words(batch.column(1)).shingles()
+            ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            found = [elements(shingle[a:b], count[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["print", "elements"])
+
+    bags = texts.join(rest.select("print").distinct(), "print", "left_semi").select("print", "text").mapInArrow(task, "print binary, elements binary")
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    placed = rest.withColumn("block", F.pmod(F.xxhash64("print"), blocks).cast("int"))
+    stored = workspace.store("blocks", write_blocks(placed.join(bags, "print"), workspace.location("block_files")))
+    other = stored.select("key", *[F.col(c).alias(f"{c}_b") for c in ("block", "path", "start", "length", "low", "high")])
+    both = stored.join(other, "key").where((F.col("block") <= F.col("block_b")) & (F.least("low", "low_b") != F.greatest("high", "high_b")))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def loaded(path: str, start: int, length: int) -> list:
+            with reader(path) as file:
+                file.seek(start)
+                return pickle.loads(file.read(length))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                left = loaded(row["path"], row["start"], row["length"])
+                same = row["block"] == row["block_b"]
+                right = left if same else loaded(row["path_b"], row["start_b"], row["length_b"])
+                found = compare_blocks(left, right)
+                yield pa.RecordBatch.from_pydict({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+    names = ("path", "start", "length", "block")
+    parts = int(rest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = both.select(*names, *[f"{c}_b" for c in names]).repartition(parts)
+    return wanted.mapInArrow(compare, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def classes(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame]:

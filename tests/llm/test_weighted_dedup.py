@@ -95,9 +95,9 @@ def test_classes_against_all_pairs(spark):
     assert got == sorted({c for _, c, _ in wanted if c is not None}, key=str)
 
 
-def test_many_rounds(spark, monkeypatch):
-    """Large buckets only: every bucket is worked off leader by leader."""
-    monkeypatch.setattr(weighted_dedup, "SMALL_BUCKET", 1)
+def test_many_blocks(spark, monkeypatch):
+    """Buckets split into blocks of few members each."""
+    monkeypatch.setattr(weighted_dedup, "BLOCK_MEMBERS", 3)
     rows = corpus()
     df = spark.createDataFrame([(i, t, "p", "c") for i, t in rows], SCHEMA)
     assert result(weighted_dedup.classified(df)) == brute_force(rows)
