@@ -46,9 +46,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     def run(name: str) -> float:
-        start = time.perf_counter()
-        CATALOG[name](Lakehouse.over_testdata(spark, directory)).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - start
+        with Lakehouse.over_testdata(spark, directory) as lake:
+            start = time.perf_counter()
+            CATALOG[name](lake).write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - start
 
     seconds = {}
     for name in HEADLINE:

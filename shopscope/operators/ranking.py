@@ -13,6 +13,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from shopscope.session import shuffle_width
 from shopscope.sources.workspace import Workspace
 
 # monotonically_increasing_id puts the partition number above these bits, the row position below.
@@ -74,7 +75,7 @@ def rank_rows(df: DataFrame, value: str, id_column: str, workspace: Workspace, n
     order = [F.asc_nulls_last("value"), F.asc_nulls_last("id")]
     marker = F.monotonically_increasing_id()
     position = F.lit((1 << _POSITION_BITS) - 1).cast("bigint")
-    ordered = keys.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_row", marker)
+    ordered = keys.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("_row", marker)
     rows = workspace.store(
         name,
         ordered.select(

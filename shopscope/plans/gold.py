@@ -395,16 +395,19 @@ def rfm_scores(facts: DataFrame, workspace: Workspace) -> DataFrame:
     ``facts`` should be a stored table: the measures are sorted once each, and the scores are then
     comparisons with the few keys that end a quintile.
     """
-    base = customer_base(facts)
+    return scored(customer_base(facts), workspace)
 
+
+def scored(base: DataFrame, workspace: Workspace, name: str = "rank") -> DataFrame:
+    """A stored table with a person's recency_days, frequency and monetary_value, with quintile scores."""
     measures = ("recency_days", "frequency", "monetary_value")
 
     def ends(measure: str):
-        return rank_rows(base, measure, PERSON, workspace, f"rank_{measure}").tile_ends(TILES)
+        return rank_rows(base, measure, PERSON, workspace, f"{name}_{measure}").tile_ends(TILES)
 
     # Three independent sorts: submitted together they share the cluster.
     with ThreadPoolExecutor(len(measures)) as pool:
-        found = dict(zip(measures, pool.map(inheritable_thread_target(facts.sparkSession)(ends), measures)))
+        found = dict(zip(measures, pool.map(inheritable_thread_target(base.sparkSession)(ends), measures)))
 
     def tile(measure: str, descending: bool = False) -> Column:
         return tile_of_key(base, measure, PERSON, found[measure][descending], descending)

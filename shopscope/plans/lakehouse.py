@@ -10,7 +10,6 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shopscope.plans import gold, silver
 from shopscope.sources.lazy import LazyTables
@@ -19,6 +18,8 @@ from shopscope.sources.workspace import Workspace
 
 
 class Lakehouse:
+    """Close it, or use it as a context manager, once nothing reads its tables any more."""
+
     def __init__(self, raw: Mapping[str, DataFrame], workspace: Workspace):
         self.raw = raw
         self.workspace = workspace
@@ -27,6 +28,15 @@ class Lakehouse:
     def over_testdata(cls, spark: SparkSession, directory: str) -> Lakehouse:
         return cls(raw_tables(spark, directory), Workspace(spark))
 
+    def close(self) -> None:
+        self.workspace.discard()
+
+    def __enter__(self) -> Lakehouse:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
     @cached_property
     def silver(self) -> LazyTables:
         return silver.build(self.raw)
@@ -64,16 +74,6 @@ class Lakehouse:
     def customer_profile(self) -> DataFrame:
         return gold.customer_profile_from_facts(self.stored_facts, self.workspace)
 
-    @cached_property
-    def profile_a_year_earlier(self) -> DataFrame:
-        """The customer profile as it was 365 days before the analysis date."""
-        orders = self.silver["orders"]
-        last = orders.agg(F.max("order_purchase_timestamp").cast("date")).scalar()
-        known = orders.filter(F.col("order_purchase_timestamp").cast("date") < F.date_add(last, 1 - 365))
-        past = Lakehouse(self.raw, Workspace(self.workspace.spark, self.workspace.location("a_year_earlier")))
-        past.silver = self.silver.replacing(orders=known)
-        return past.customer_profile
-
     @cached_property
     def executive_kpis(self) -> DataFrame:
         return gold.executive_kpis(self.customer_profile)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopscope.functions.numeric import MONEY, cents, from_cents, mean, percent, ratio
 from shopscope.operators.keys import beside
+from shopscope.operators.nulls import spread_null_key
 from shopscope.operators.order_stats import column_quantiles, interpolated, signed_bits
 from shopscope.operators.ranking import rank_rows, tile_of_rank
 from shopscope.plans import gold, views
@@ -106,10 +107,50 @@ def pareto_curve(facts: DataFrame, workspace: Workspace) -> DataFrame:
     ).orderBy("customer_percentile")
 
 
-def segment_migration(then: DataFrame, now: DataFrame) -> DataFrame:
+def _measures_then_and_now(silver: Mapping[str, DataFrame]) -> DataFrame:
+    """Per person the orders, spend and last purchase of all orders, and of those known 365 days before the analysis date."""
+    orders = silver["orders"]
+    last = orders.agg(F.max("order_purchase_timestamp").cast("date")).scalar()
+    early = F.col("order_purchase_timestamp").cast("date") < F.date_add(last, 1 - 365)
+    paid = silver["payments"].groupBy(F.col("order_id").alias("_paid")).agg(F.sum(cents(F.col("payment_value"))).alias("cents"))
+    keyed = orders.withColumn("_key", spread_null_key(orders, "order_id")).filter("customer_id is not null")
+    rows = keyed.join(paid, F.col("_key") == F.col("_paid"), "left").withColumn("early", F.coalesce(early, F.lit(False)))
+
+    def both(name: str, then: Column, now: Column) -> list[Column]:
+        return [then.alias(f"{name}_then"), now.alias(f"{name}_now")]
+
+    spend = F.coalesce("cents", F.lit(0))
+    at = F.col("order_purchase_timestamp")
+    accounts = rows.groupBy("customer_id").agg(
+        F.count_if("early").alias("rows_then"),
+        *both("orders", F.count(F.when(F.col("early"), F.col("order_id"))), F.count("order_id")),
+        *both("cents", F.sum(F.when(F.col("early"), spend).otherwise(0)), F.sum(spend)),
+        *both("last", F.max(F.when(F.col("early"), at)), F.max(at)),
+    )
+    people = silver["customers"].select("customer_id", PERSON).distinct()
+    summed = ["rows_then", *[f"{name}_{when}" for name in ("orders", "cents") for when in ("then", "now")]]
+    return accounts.join(people, "customer_id").groupBy(PERSON).agg(
+        *[F.sum(name).alias(name) for name in summed], *[F.max(f"last_{when}").alias(f"last_{when}") for when in ("then", "now")]
+    )
+
+
+def segment_migration(silver: Mapping[str, DataFrame], workspace: Workspace) -> DataFrame:
     """Customers per (earlier segment, current segment); newcomers have no earlier one."""
-    before = then.select(F.col(PERSON).alias("_person"), F.col("customer_segment").alias("segment_before"))
-    after = now.select(PERSON, F.col("customer_segment").alias("segment_after"))
+    measures = workspace.store("measures", _measures_then_and_now(silver))
+
+    def segments(rows: DataFrame, when: str) -> DataFrame:
+        last = F.col(f"last_{when}").cast("date")
+        base = rows.select(
+            PERSON,
+            F.datediff(F.date_add(rows.agg(F.max(f"last_{when}").cast("date")).scalar(), 1), last).alias("recency_days"),
+            F.col(f"orders_{when}").alias("frequency"),
+            from_cents(F.col(f"cents_{when}")).alias("monetary_value"),
+        )
+        scored = gold.scored(base, workspace, f"rank_{when}")
+        return scored.select(PERSON, gold.segment().alias(f"segment_{when}"))
+
+    before = segments(measures.filter("rows_then > 0"), "then").select(F.col(PERSON).alias("_person"), F.col("segment_then").alias("segment_before"))
+    after = segments(measures, "now").select(PERSON, F.col("segment_now").alias("segment_after"))
     moved = after.join(before, F.col(PERSON).eqNullSafe(F.col("_person")), "full")
     return (
         moved.groupBy("segment_before", "segment_after")

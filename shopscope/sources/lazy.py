@@ -22,7 +22,3 @@ class LazyTables(Mapping[str, DataFrame]):
 
     def __len__(self) -> int:
         return len(self._builders)
-
-    def replacing(self, **tables: DataFrame) -> LazyTables:
-        """The same tables with some exchanged."""
-        return LazyTables({**{n: lambda n=n: self[n] for n in self}, **{n: lambda df=df: df for n, df in tables.items()}})

@@ -40,6 +40,30 @@ def test_load_replaces_and_audits(spark, tmp_path):
     assert [(r["table_name"], r["row_count"], r["status"]) for r in log] == [("payments", 2, "SUCCESS")]
 
 
+def test_unclosed_quote_fails_by_name(spark, tmp_path):
+    path = tmp_path / "reviews.csv"
+    rows = "".join(f'r{i},o{i},5,"title","text",,\n' for i in range(5000))
+    path.write_text(f'{HEADER}\nr,o,5,"never closed,,,\n{rows}')
+    with pytest.raises(Exception, match="never closed in .*reviews.csv"):
+        csv_files.read_csv(spark, "reviews", str(path)).count()
+
+
+def test_fixed_width_text_ignores_trailing_blanks(spark, tmp_path):
+    path = tmp_path / "sellers.csv"
+    path.write_text("a,b,c,d\ns1,123  ,Town ,SP \n")
+    row = csv_files.read_csv(spark, "sellers", str(path)).first()
+    assert (row["seller_zip_code_prefix"], row["seller_city"], row["seller_state"]) == ("123", "Town ", "SP")
+
+
+def test_one_failing_load_leaves_the_others_in_the_log(spark, tmp_path):
+    (tmp_path / "payments.csv").write_text("a,b,c,d,e\no1,1,boleto,1,10.50\n")
+    (tmp_path / "sellers.csv").write_text("a,b,c,d\ns1,1,x,SP,too,many\n")
+    target = str(tmp_path / "bronze")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        csv_files.load(spark, {t: str(tmp_path / f"{t}.csv") for t in ("sellers", "payments")}, target)
+    assert [row["table_name"] for row in csv_files.load_audit(spark, target).collect()] == ["payments"]
+
+
 def test_bad_row_fails_and_is_not_audited(spark, tmp_path):
     payments = tmp_path / "payments.csv"
     payments.write_text("a,b,c,d,e\no1,one,boleto,1,10.50\n")

@@ -141,3 +141,12 @@ def test_empty_input(spark, workspace):
     assert lake.customer_intelligence.count() == 0
     row = lake.executive_kpis.first()
     assert row["total_customers"] == 0 and row["repeat_customer_rate"] is None and row["total_revenue"] is None
+
+
+def test_a_person_without_id_has_no_address(spark, workspace):
+    nobody = {**customer(1, "u"), "customer_unique_id": None, "customer_city": "x", "customer_state": "S"}
+    lake = _lake(spark, workspace, customers=[nobody], orders=[order(1)])
+    row = lake.customer_360.first()
+    assert row["customer_unique_id"] is None and row["total_orders"] == 1
+    assert (row["customer_city"], row["customer_state"], row["customer_zip_code_prefix"]) == (None, None, None)
+    assert lake.customer_intelligence.first()["customer_state"] is None

@@ -67,6 +67,18 @@ def test_category_shares_add_up(lake):
     assert shares.filter("abs(s - 1) > 0.005 * n").count() == 0
 
 
+def test_scorecard_reads_each_table_twice_at_most(lake):
+    """Once for the row conditions, once for the keys; two rules on pairs of columns read one table more."""
+    plan = _plan(quality.scorecard(lake.raw))
+    single = sum(_plan(df).count("FileScan") for df in (lake.raw[t] for t in lake.raw))
+    assert plan.count("FileScan") <= 2 * single + 4
+
+
+def test_routes_reduce_before_they_meet_sellers(lake):
+    plan = _plan(CATALOG["doc_late_rate_by_route"](lake))
+    assert re.search(r"Join.*?\n(?:.*\n)*?.*HashAggregate\(keys=\[seller_id", plan)
+
+
 def test_scorecard_agrees_with_the_rules(lake):
     card = {r["rule_id"]: r for r in quality.scorecard(lake.raw).collect()}
     assert list(card) == sorted(quality.RULES)
