@@ -41,7 +41,7 @@ COMPONENTS, ROWS = 125, 5
 #: Members and shingles that a block of a bucket has on average, at most.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 384, 400_000
 #: Rows and bytes of text that a task works on at once.
-PIECE_ROWS, PIECE_BYTES = 2000, 6 << 20
+PIECE_ROWS, PIECE_BYTES = 500, 3 << 19
 
 
 def printed(text: Column) -> Column:
@@ -98,7 +98,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return [(shingle[a:b], count[a:b]) for a, b in zip(ends[:-1], ends[1:])]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 500, "text_b", PIECE_BYTES):
+        for batch in pieces(batches, 300, "text_b", PIECE_BYTES):
             names = batch.column("a").to_pylist()
             where: dict[bytes, int] = {}
             for n, name in enumerate(names):
@@ -228,7 +228,7 @@ def block_links(rest: DataFrame, texts: DataFrame, workspace: Workspace) -> Data
     """Links (a, b) that join different roots within the buckets of ``rest`` (key, print, root, members, shingles)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 1000, 1, PIECE_BYTES):
+        for batch in pieces(batches, PIECE_ROWS, 1, PIECE_BYTES):
             owner, shingle, count = Words(batch.column(1)).shingles()
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             found = [elements(shingle[a:b], count[a:b]).tobytes() for a, b in zip(ends[:-1], ends[1:])]
