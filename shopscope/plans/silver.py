@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shopscope.functions.numeric import DAYS, ratio
 from shopscope.functions.text import blank_to_null, lower_trim, pad_zip, upper_trim
 from shopscope.operators.keys import beside, key_counts, orphan_keys, surplus, total
+from shopscope.operators.nulls import spread_null_key
 from shopscope.sources.lazy import LazyTables
 
 MICROS_PER_DAY = 86_400_000_000
@@ -88,7 +89,8 @@ def products(raw: DataFrame, raw_translation: DataFrame) -> DataFrame:
     names = raw_translation.select(
         F.col("product_category_name").alias("_category"), "product_category_name_english"
     )
-    joined = raw.join(names, F.col("product_category_name") == F.col("_category"), "left")
+    keyed = raw.withColumn("_key", spread_null_key(raw, "product_category_name"))
+    joined = keyed.join(names, F.col("_key") == F.col("_category"), "left")
     unknown = F.lit("unknown")
     return joined.select(
         "product_id",
