@@ -40,6 +40,8 @@ THRESHOLD = 0.8
 COMPONENTS, ROWS = 125, 5
 #: Members and shingles that a block of a bucket has on average, at most.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 384, 400_000
+#: Prints and ids are broadcast up to so many rows, of some 40 bytes each.
+BROADCAST_ROWS = 1_000_000
 #: Rows and bytes of text that a task works on at once.
 PIECE_ROWS, PIECE_BYTES = 500, 3 << 19
 
@@ -117,7 +119,7 @@ def _similar_size(a: Column, b: Column) -> Column:
 
 
 def links(docs: DataFrame, nodes: DataFrame, workspace: Workspace) -> DataFrame:
-    """(node, root) of all nodes that are linked; ``nodes`` has print, size, bands."""
+    """(node, root) of all nodes that are linked; ``nodes`` has print, a doc_id with it, size and bands."""
     keys = nodes.select("print", "size", F.explode("bands").alias("key"))
     buckets = keys.groupBy("key").agg(F.min(F.struct("print", "size")).alias("lead"), F.count(F.lit(1)).alias("members")).where("members > 1")
     members = keys.join(buckets, "key").select("key", "print", "size", "lead")
@@ -125,9 +127,14 @@ def links(docs: DataFrame, nodes: DataFrame, workspace: Workspace) -> DataFrame:
     first = members.where(_similar_size(F.col("size"), F.col("lead.size")))
     pairs = workspace.store("pairs", first.select(F.col("lead.print").alias("a"), F.col("print").alias("b")).distinct())
     # only texts of nodes that share a bucket are read again, one document for each
-    wanted = members.select("print").union(members.select("lead.print")).distinct()
-    printed_docs = docs.select(F.col("text").cast("string").alias("text")).withColumn("print", printed(F.col("text")))
-    texts = workspace.store("texts", printed_docs.join(wanted, "print", "left_semi").dropDuplicates(["print"]))
+    prints = members.select("print").union(members.select("lead.print")).distinct()
+    wanted = workspace.store("wanted", nodes.select("print", F.col("doc_id").alias("wanted")).join(prints, "print"))
+    few = wanted.count() <= BROADCAST_ROWS
+    hinted = lambda df: F.broadcast(df) if few else df
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.join(hinted(wanted.select("wanted").distinct()), F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+    rows = rows.select("text", printed(F.col("text")).alias("print")).join(hinted(wanted.select("print")), "print", "left_semi")
+    texts = workspace.store("texts", rows.dropDuplicates(["print"]))
     found = workspace.store("links", verify(pairs, texts).select("a", "b"))
     roots = components(found, workspace, "leaders")
     named = members.select("key", "print", "size").join(roots, members["print"] == roots["node"], "left")
@@ -265,13 +272,15 @@ def classes(docs: DataFrame, workspace: Workspace) -> tuple[DataFrame, DataFrame
     """The sketches (doc_id, print, ...) of all documents, and print to class_id, kept print and class_size."""
     sketches = workspace.store("sketches", sketch(docs))
     nodes = sketches.groupBy("print").agg(F.min(_first()).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"))
-    bands = sketches.where(F.size("bands") > 0).select("print", "bands", "size").dropDuplicates(["print"])
+    bands = sketches.where(F.size("bands") > 0).select("print", "doc_id", "bands", "size").dropDuplicates(["print"])
     roots = links(docs, workspace.store("bands", bands), workspace)
     rooted = nodes.join(roots, nodes["print"] == roots["node"], "left").select("print", "first", "copies", F.coalesce("root", "print").alias("root"))
     rooted = workspace.store("rooted", rooted)
-    sizes = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("copies").alias("class_size"))
+    # written, so that what follows are plain joins, whose hot partitions adaptive execution may split
+    sizes = workspace.store("sizes", rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("copies").alias("class_size")))
     named = rooted.drop("first", "copies").join(sizes, "root")
-    return sketches, named.select("print", F.col("first.doc_id").alias("class_id"), F.col("first.print").alias("kept"), "class_size")
+    named = named.select("print", F.col("first.doc_id").alias("class_id"), F.col("first.print").alias("kept"), "class_size")
+    return sketches, workspace.store("classes", named)
 
 
 def classified(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
@@ -284,6 +293,9 @@ def without_duplicates(docs: DataFrame, workspace: Workspace | None = None) -> D
     """The documents with one of each class, in all their columns."""
     _, named = classes(docs, workspace or Workspace(docs.sparkSession))
     kept = named.where(F.col("print") == F.col("kept")).select("print", "class_id")
-    own = docs.withColumn("_print", printed(F.col("text").cast("string")))
-    same = (own["_print"] == kept["print"]) & own["doc_id"].cast("long").eqNullSafe(kept["class_id"])
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_print"]).drop("_print")
+    name = "_print"
+    while name in docs.columns:
+        name += "_"
+    own = docs.withColumn(name, printed(F.col("text").cast("string")))
+    same = (own[name] == kept["print"]) & own["doc_id"].cast("long").eqNullSafe(kept["class_id"])
+    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
