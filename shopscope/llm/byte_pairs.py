@@ -22,6 +22,8 @@ import tiktoken
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shopscope.llm.batches import bounded
+
 #: Characters handed to the library at once; longer texts are cut at the next safe boundary.
 PIECE = 1 << 16
 #: A letter or digit, then a single blank, then another one: a match never spans the place before the blank.
@@ -57,6 +59,7 @@ def encode_text(encoding: tiktoken.Encoding, text: str | None, piece: int = PIEC
 
 def encode(text: Column, rank_file: str, pattern: str) -> Column:
     """The token ids of each text, ``array<int>``."""
+    bounded()
 
     @F.pandas_udf("array<int>")
     def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -84,6 +87,7 @@ def digest(text: Column, rank_file: str, pattern: str, with_ids: bool = False) -
 
     The ids are encoded as by ``encode`` and decoded as by ``decode``; the second digest is that of the decoded bytes.
     """
+    bounded()
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.llm.batches import bounded
 from shopscope.llm.char_tagger import Tagger
 
 KINDS = ("email", "ip", "card", "phone")
@@ -366,6 +367,7 @@ def _slices(batch: pd.Series, size: int = 8 << 20) -> Iterator[list[str | None]]
 
 def spans(text: Column, finder: Finder) -> Column:
     """Struct of the base spans' counts by kind, the digest of the base spans, and all spans."""
+    bounded()
     counts = ", ".join(f"n_{kind} long" for kind in KINDS)
 
     @F.pandas_udf(f"{counts}, base_sha256 string, spans string")
@@ -383,6 +385,7 @@ def spans(text: Column, finder: Finder) -> Column:
 
 def redact(text: Column, finder: Finder) -> Column:
     """The text without its personal data."""
+    bounded()
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopscope.llm.batches import bounded
+
 # Function words of the grammar in English, German, French and Spanish.
 THREATS = "kill hurt destroy beat töten schlagen vernichten tuer frapper détruire matar golpear destruir"
 TARGETS = "you your you're du dich dir dein ihr euch tu toi te vous votre tú ti usted ustedes vosotros"
@@ -254,7 +256,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, characters:
     ]
     chosen = F.broadcast(sample[0].union(sample[1]))  # at most 4 * per_class rows of two numbers
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.length("text").alias("size"))
-    rows = texts.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "size").orderBy("size", "doc_id").collect()
+    rows = texts.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     kept, used = [], 0
     for row in rows:
         used += row["size"] or 0
@@ -270,6 +272,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, characters:
 
 def score(text: Column, grammar: Grammar) -> Column:
     """The score of each text, from 0 to 1."""
+    bounded()
 
     @F.pandas_udf("double")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.llm import bag_min_hash
-from shopscope.llm.batches import pieces
+from shopscope.llm.batches import bounded, pieces
 from shopscope.llm.components import components
 from shopscope.llm.shingles import STEP, Words, mix, overlap
 from shopscope.llm.storage import Output, reader
@@ -48,6 +48,7 @@ PIECE_ROWS, PIECE_BYTES = 500, 3 << 19
 
 def printed(text: Column) -> Column:
     """The print of each text's words."""
+    bounded()
 
     @F.pandas_udf("binary")
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -79,6 +80,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             columns = [batch.column(0), pa.array(words.prints(texts), pa.binary()), pa.array(sizes), pa.array(lists, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, schema=SKETCH)
 
+    bounded(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(task, "doc_id long, print binary, size long, bands array<long>")
 
