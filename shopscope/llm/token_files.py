@@ -26,25 +26,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.llm.batches import pieces
+from shopscope.llm.batches import bounded, gathered, pieces
 from shopscope.llm.storage import Output, reader
 from shopscope.sources.workspace import Workspace
 
 #: A file is closed once it has this many bytes.
 FILE_BYTES = 32 << 20
 #: Distinct units whose ids a task remembers; beyond it, it forgets all of them.
-REMEMBERED = 500_000
+REMEMBERED = 900_000
 INDEX_ENTRY = struct.Struct("<q?QQ")
 SPACE = r"\pZ\t-\r\x{85}"
 #: A blank that has white space on its left, and white space or nothing on its right: cutting before it would change the ids.
 UNSAFE = f"[{SPACE}] ([{SPACE}]|\\z)"
-#: A word of letters that is followed by plain punctuation only; the two are separate matches.
-WORD_AND_MARKS = regex.compile(r"( ?\p{L}+)([,.;:!?]+)")
+#: Plain punctuation after a word of Latin letters is a match of its own.
+MARKS, LATIN_END = ",.;:!?", "\u0250"
 
 
 def masked(data: bytes) -> int:
@@ -93,17 +92,19 @@ class Encoder:
 
     def _numbers(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The known numbers of each unit's one or two parts, the second -1 if there is none."""
-        known = self.known
-        parts: list[tuple[str, str | None]] = []
-        for unit in units:
-            match = None if unit in known else WORD_AND_MARKS.fullmatch(unit)
-            parts.append((match[1], match[2]) if match else (unit, None))
-        if new := list(dict.fromkeys(part for pair in parts for part in pair if part is not None and part not in known)):
-            self._add(new)
-        return (
-            np.array([known[head] for head, _ in parts], np.int64),
-            np.array([-1 if tail is None else known[tail] for _, tail in parts], np.int64),
-        )
+        known, heads, tails = self.known, list(units), {}
+        for at, unit in enumerate(units):
+            if unit[-1:] in MARKS and unit not in known:
+                head = unit.rstrip(MARKS)
+                if head.lstrip(" ").isalpha() and head.count(" ") <= 1 and max(head) < LATIN_END:
+                    heads[at], tails[at] = head, unit[len(head) :]
+        new = {part for part in heads if part not in known}
+        new.update(part for part in tails.values() if part not in known)
+        if new:
+            self._add(sorted(new))
+        second = np.full(len(units), -1, np.int64)
+        second[list(tails)] = [known[part] for part in tails.values()]
+        return np.array([known[part] for part in heads], np.int64), second
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
@@ -179,7 +180,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: s
         encoder, partition = _encoder(tokenizer_file), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         shard, closed = None, []
-        for batch in pieces(batches, 4000, 1):
+        for batch in pieces(gathered(batches, 8 << 20), 4000, 1):
             for own, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 shard = shard or _Shard(folder)
                 shard.add(own, ids.tobytes() + end, len(ids) + 1)
@@ -193,6 +194,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: s
                 schema=pa.schema([("partition", pa.int32()), ("file", pa.int32()), ("records", pa.string()), ("index", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64()), ("width", pa.int32())]),
             )
 
+    bounded(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("body"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "key", F.xxhash64("body")).sortWithinPartitions("key", "body")
