@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.llm.batches import pieces
+from shopscope.llm.batches import bounded, pieces
 from shopscope.llm.storage import Output, reader
 from shopscope.sources.workspace import Workspace
 
@@ -156,6 +156,7 @@ def write_arcs(pages: DataFrame, folder: str, date: str = "20000101000000") -> D
             closed.append(out.uri)
         yield pa.RecordBatch.from_pydict({"archive": closed}, schema=pa.schema([("archive", pa.string())]))
 
+    bounded(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "archive string")
 
 
@@ -197,7 +198,7 @@ def record_id(archive: Column, start: Column) -> Column:
     return F.concat(F.lit("urn:uuid:"), F.regexp_replace(digest, "^(.{8})(.{4}).(.{3}).(.{3})(.{12})$", "$1-$2-3$3-a$4-$5"))
 
 
-def decide(records: DataFrame, revisit_from: int = 0) -> DataFrame:
+def decide(records: DataFrame, workspace: Workspace, revisit_from: int = 0) -> DataFrame:
     """Adds ``id``, and for payloads kept elsewhere ``refers_page``, ``refers_id``, ``refers_url``, ``refers_date``.
 
     Of equal payloads of at least ``revisit_from`` bytes, the record with the smallest page id is kept.
@@ -210,6 +211,8 @@ def decide(records: DataFrame, revisit_from: int = 0) -> DataFrame:
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
     )
+    # written, so that the join is a plain one, in which the partition of a payload that most records share may be split
+    kept = workspace.store("kept", kept)
     joined = records.join(kept, ["payload_digest", "payload_bytes"], "left")
     other = F.col("first").isNotNull() & (F.col("first.id") != F.col("id"))
     return joined.select(
@@ -337,7 +340,7 @@ def read_warcs(archives: DataFrame) -> DataFrame:
 def convert(arcs: DataFrame, workspace: Workspace, revisit_from: int = 0) -> DataFrame:
     """The WARC archives of a table of ARC paths (column ``archive``)."""
     records = workspace.store("records", scan_arcs(arcs))
-    return workspace.store("warcs", write_warcs(decide(records, revisit_from), workspace.location("warc")))
+    return workspace.store("warcs", write_warcs(decide(records, workspace, revisit_from), workspace.location("warc")))
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
