@@ -55,7 +55,7 @@ def op7_decontamination(spark: SparkSession, directory: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents")
-    records = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    records = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return records.select(records["key"].alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 

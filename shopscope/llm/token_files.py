@@ -51,20 +51,29 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+def regex_quoted(text: str) -> str:
+    """A pattern for just this text, in Arrow's regular expressions."""
+    return "".join(f"\\x{{{ord(c):x}}}" for c in text)
+
+
 class Encoder:
     """Whole texts to ids by a byte-level tokenizer file, remembering the ids of units between blanks.
 
     The tokenizer's pattern starts a new match before every blank that follows something other than white space,
     or that ends a run of white space before a word. Texts are cut there in one vectorised pass and each distinct
-    unit is encoded once. A text with a blank for which this doesn't hold (UNSAFE) is encoded as a whole.
+    unit is encoded once. A text with a blank for which this doesn't hold (UNSAFE) is encoded as a whole. With
+    ``added``, the strings of added tokens in a text are these tokens, as in the library's default, and texts that
+    hold one are encoded as a whole too; else they are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
+        strings = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = "|".join(map(regex_quoted, strings)) if added else ""
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self._forget()
 
@@ -111,8 +120,8 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self._forget()
         texts = pc.fill_null(texts, "").cast(pa.large_string())
-        whole = pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
-        lists = pc.split_pattern(texts, " ")
+        whole = pc.match_substring_regex(texts, f"{UNSAFE}|{self.added}" if self.added else UNSAFE).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
         values, offsets = lists.values, lists.offsets.to_numpy()
         offsets = offsets.astype(np.int64)
         # every unit but the first of a text has a blank in front
@@ -141,8 +150,8 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _encoder(path: str, added: bool = False) -> Encoder:
+    return Encoder(path, added)
 
 
 class _Shard:
@@ -170,14 +179,14 @@ class _Shard:
 MANIFEST = "partition int, file int, records string, index string, documents long, tokens long, width int"
 
 
-def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Encode and write all documents in ascending order of key; returns the manifest, one row a file, lazily.
 
     Materialise the manifest before reading the files.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, partition = _encoder(tokenizer_file), TaskContext.get().partitionId()
+        encoder, partition = _encoder(tokenizer_file, added), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         shard, closed = None, []
         for batch in pieces(gathered(batches, 8 << 20), 4000, 1):
@@ -249,9 +258,9 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     return files.repartition(max(1, len(tasks))).mapInArrow(task, "key long, start long, n_tokens long, ids_crc32 long, width int, ids binary")
 
 
-def round_trip(docs: DataFrame, tokenizer_file: str, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_file: str, end_id: int = 0, key: str = "doc_id", text: str = "text", added: bool = False) -> DataFrame:
     """Write all documents below the shared work folder and read the files back."""
     spark = docs.sparkSession
     workspace = Workspace(spark)
-    manifest = workspace.store("manifest", write(docs, workspace.location("files"), tokenizer_file, end_id, key, text))
+    manifest = workspace.store("manifest", write(docs, workspace.location("files"), tokenizer_file, end_id, key, text, added))
     return read(spark, manifest)

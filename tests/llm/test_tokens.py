@@ -106,3 +106,26 @@ def test_queries_over_the_whole_table(spark):
         ids = [*tokenizer.encode(docs[row["doc_id"]], add_special_tokens=False).ids, 0]
         assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y, <|endoftext|><|endoftext|> ", "<|endoftext |> <|endoftext", "plain text, as before", None]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", " ", "\n", "ab", ".", "é"]), max_size=8).map("".join), max_size=6))
+def test_added_tokens_as_the_library_reads_them(texts):
+    encoder, tokenizer = token_files._encoder(FILE, True), Tokenizer.from_file(FILE)
+    found = encoder.encode(pa.array(texts, pa.string()))
+    assert [x.tolist() for x in found] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_query_reads_added_tokens(spark, tmp_path):
+    spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, at = Tokenizer.from_file(FILE), 0
+    assert 50256 in tokenizer.encode(ADDED[0], add_special_tokens=False).ids
+    rows = sorted(catalog.op8_token_files(spark, str(tmp_path)).collect(), key=lambda row: row["start"])
+    assert [row["doc_id"] for row in rows] == list(range(len(ADDED)))
+    for row, text in zip(rows, ADDED):
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
