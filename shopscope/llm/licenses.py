@@ -5,6 +5,12 @@ by sentences. Only templates whose number of bigrams allows the wanted coefficie
 coefficient of t, sizes lie between t / (2 - t) and (2 - t) / t times the template's. These sizes are spelled out, so
 parts meet templates in a plain equality join with a table of a few thousand rows that does not grow with the data.
 
+Where line ends and punctuation divide a notice (wrapped in a comment, or inside a longer line), no such part is the
+notice, so windows of words are compared as well. A template's word pairs lie in a text in runs of neighbouring places.
+Leaving out a pair at a window's end that the template lacks never lowers the coefficient, nor does adding one that it
+has, so the best window begins with a run and ends with one, and only these are measured, up to (2 - t) / t times the
+template's length (one run may be longer). A licence that a part matches is reported by its parts alone.
+
 Texts that can't match are left out by the words they hold: a match shares at least t / (2 - t) of a template's
 bigrams, so it holds at least one of any words that together touch more of the template's bigrams than may be missing.
 
@@ -15,6 +21,7 @@ rows.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -88,8 +95,50 @@ def bigrams(own: Column) -> Column:
     return F.array_distinct(F.when(F.size(own) >= 2, pairs).otherwise(F.array().cast("array<string>")))
 
 
+def windows(held: DataFrame, templates: dict[str, list[str]], threshold: float) -> DataFrame:
+    """doc_id, license, part (a window's bigrams) and dice of each window that matches."""
+    sets = [(name, sorted(set(zip(own, own[1:])))) for name, texts in templates.items() for own in map(words_of, texts)]
+    sets = [(name, [" ".join(pair) for pair in pairs]) for name, pairs in sets if pairs]
+    if not sets:
+        return held.select("doc_id", F.lit("").alias("license"), F.array(F.lit("")).alias("part"), F.lit(0.0).alias("dice")).where("false")
+    strings = lambda values: F.array(*map(F.lit, values))
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("license"),
+                strings(pairs).alias("template"),
+                F.lit(math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9)).alias("need"),
+                F.lit(math.floor(len(pairs) * (2 - threshold) / threshold + 1e-9)).alias("limit"),
+            )
+            for name, pairs in sets
+        )
+    )
+    every = sorted({pair for _, pairs in sets for pair in pairs})
+    split = held.select("doc_id", words(F.col("text")).alias("own"))
+    own = F.col("own")
+    pairs = F.transform(own, lambda word, i: F.struct(i.alias("at"), F.concat_ws(" ", word, F.get(own, i + 1)).alias("pair")))
+    hits = split.select("doc_id", "own", F.filter(pairs, lambda p: p["pair"].isin(every)).alias("hits"))
+    # templates with enough hits close together; the hits of one are bound by a list of one, not found again for each
+    of = lambda t: F.filter("hits", lambda h: F.array_contains(t["template"], h["pair"]))
+    close = lambda mine, t: F.exists(F.transform(mine, lambda h, k: F.get(mine, k + t["need"] - 1)["at"] - h["at"] < t["limit"]), lambda x: x)
+    near = F.filter(known, lambda t: F.exists(F.array(of(t)), lambda mine: close(mine, t)))
+    met = hits.select("doc_id", "own", "hits", F.explode(near).alias("t"))
+    met = met.select("doc_id", "own", "t", F.transform(of(F.col("t")), lambda h: h["at"]).alias("mine"))
+    mine, limit = F.col("mine"), F.col("t")["limit"]
+    firsts = F.filter(mine, lambda at, k: ~F.coalesce(F.get(mine, k - 1) == at - 1, F.lit(False)))
+    lasts = F.filter(mine, lambda at, k: ~F.coalesce(F.get(mine, k + 1) == at + 1, F.lit(False)))
+    runs = met.select("doc_id", "own", "t", firsts.alias("firsts"), lasts.alias("lasts"))
+    ends = lambda first, k: F.filter(F.slice("lasts", k + 1, limit), lambda last, j: (j == 0) | (last - first < limit))
+    pieces = F.flatten(F.transform("firsts", lambda first, k: F.transform(ends(first, k), lambda last: F.slice("own", first + 1, last - first + 2))))
+    cut = runs.select("doc_id", "t", F.explode(pieces).alias("own"))
+    measured = cut.select("doc_id", "t", bigrams(own).alias("part"))
+    shared = F.size(F.array_intersect("part", F.col("t")["template"]))
+    dice = 2 * shared / (F.size("part") + F.size(F.col("t")["template"]))
+    return measured.select("doc_id", F.col("t")["license"].alias("license"), "part", dice.alias("dice")).where(F.col("dice") >= threshold)
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, license, the best ``dice`` of its templates, and how many different parts match it."""
+    """doc_id, license, the best ``dice`` of its templates, and how many different parts (or else windows) match it."""
     spark = docs.sparkSession
     known = spark.createDataFrame([(name, text) for name, texts in templates.items() for text in texts], "license string, template string")
     known = known.select("license", words(F.col("template")).alias("own")).select("license", bigrams(F.col("own")).alias("template"))
@@ -103,8 +152,12 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
     both = measured.join(F.broadcast(known), "n")  # the templates' possible sizes: bounded by the templates
     shared = F.size(F.array_intersect("part", "template"))
     scored = both.select("doc_id", "license", "part", (2 * shared / (F.col("n") + F.size("template"))).alias("dice")).where(F.col("dice") >= threshold)
-    best = scored.groupBy("doc_id", "license", F.xxhash64(F.array_join("part", "|")).alias("part")).agg(F.max("dice").alias("dice"))
-    return best.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("parts"))
+    either = scored.withColumn("is_part", F.lit(1)).union(windows(held, templates, threshold).withColumn("is_part", F.lit(0)))
+    key = F.xxhash64(F.array_join("part", "|")).alias("part")
+    best = either.groupBy("doc_id", "license", "is_part", key).agg(F.max("dice").alias("dice"))
+    found = best.groupBy("doc_id", "license", "is_part").agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("parts"))
+    first = found.groupBy("doc_id", "license").agg(F.max(F.struct("is_part", "dice", "parts")).alias("found"))
+    return first.select("doc_id", "license", "found.dice", "found.parts")
 
 
 def _sql() -> str:

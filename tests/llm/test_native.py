@@ -1,6 +1,7 @@
 """Decontamination, licences and conversations against SQL and brute force, without Python in the plans."""
 
 import random
+import textwrap
 
 import pytest
 import regex
@@ -84,6 +85,49 @@ def test_licence_parts(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_wrapped_and_embedded_notices(spark):
+    notices = {name: max(texts, key=len) for name, texts in licenses.TEMPLATES.items()}
+    docs, wanted, prose = [], set(), " ".join(f"other{n} words" for n in range(60))
+    for n, (name, text) in enumerate(notices.items()):
+        lines = "\n * ".join(textwrap.wrap(text, 70))
+        docs.append((3 * n, f"/*\n * {prose}\n *\n * {lines}\n *\n * and more.\n */\nint main() {{}}\n"))
+        docs.append((3 * n + 1, f"Some {prose}, and they say: {text} Then {prose} in the same line"))
+        wanted |= {(3 * n, name), (3 * n + 1, name)}
+    docs.append((900, "We may use a copy of the software under the license of the work. You can do so with or without the file." * 50))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(row["doc_id"], row["license"]): row["dice"] for row in licenses.scan(docs).collect()}
+    assert wanted <= set(got)
+    assert all(got[3 * n, name] == 1.0 for n, name in enumerate(notices) if name in ("MIT", "GPL-2.0", "GPL-3.0", "MPL-2.0"))
+    best = {(row[0], row[1]): row[2] for row in licenses.windows(docs, licenses.TEMPLATES, 0.8).groupBy("doc_id", "license").max("dice").collect()}
+    assert all(best[pair] == 1.0 for pair in wanted)
+    assert not any(doc == 900 for doc, _ in got)
+
+
+def test_windows_are_the_best_of_all(spark):
+    rng = random.Random(4)
+    templates = {"A": ["alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"], "B": ["beta gamma nu xi alpha beta omicron pi"]}
+    pairs = lambda own: set(zip(own, own[1:]))
+    docs, wanted = [], {}
+    for doc in range(150):
+        own = licenses.words_of(templates[rng.choice("AB")][0])
+        for _ in range(rng.randrange(4)):
+            own.insert(rng.randrange(len(own)), rng.choice(["gamma", "x", "y"]))
+        if rng.random() < 0.5:
+            del own[rng.randrange(len(own))]
+        own = rng.choices(["x", "y", "beta", "gamma"], k=15) + own + rng.choices(["x", "y", "mu", "alpha"], k=15)
+        docs.append((doc, " ".join(own)))
+        for name, (text,) in templates.items():
+            whole = pairs(licenses.words_of(text))
+            limit = int(len(whole) * 1.5 + 1e-9)
+            sets = [pairs(own[a:b]) for a in range(len(own)) for b in range(a + 2, min(len(own), a + limit + 1) + 1)]
+            best = max(2 * len(s & whole) / (len(s) + len(whole)) for s in sets)
+            if best >= 0.8:
+                wanted[doc, name] = best
+    held = spark.createDataFrame(docs, "doc_id long, text string")
+    found = licenses.windows(held, templates, 0.8).groupBy("doc_id", "license").max("dice").collect()
+    assert {(row[0], row[1]): row[2] for row in found} == wanted and 20 < len(wanted)
+
+
 def test_telling_words_are_in_every_match():
     rng = random.Random(3)
     for texts in licenses.TEMPLATES.values():
