@@ -41,7 +41,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Window length and grid; the middle half of a window is its own.
 WINDOW, GRID = 64, 32
-TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]")
+#: Spelled-out signs of an address, in either case; a bare "at" only before what looks like a domain.
+AT = r"(?:@|[(\[{] ?at ?[)\]}]|(?<=\w )at(?= [\w-]+(?:\.[\w-]| dot )))"
+DOT = r"(?:\.| ?[(\[{] ?dot ?[)\]}] ?| dot )"
+TRIGGER = re.compile(f"[0-9]|{AT}", re.I)
+AT_SIGN = re.compile(AT, re.I)
+BRACKETED = re.compile(r"[(\[{] ?at ?[)\]}]", re.I)
+DOMAIN = re.compile(rf" ?[\w-]+(?:{DOT}[\w-]+)*", re.I)
+ADDRESS = re.compile(rf"[\w.%+-]+ ?{AT} ?[\w-]+(?:{DOT}[\w-]+)+", re.I)
 LABELS = ("O", *(f"{part}-{kind}" for kind in KINDS for part in "BI"))
 # Symbols of the tagger; digits, letters by case, other letters and other signs each share one.
 SIGNS = "@.+-_()[]%:/,;!?#\"'=<> \n\t"
@@ -123,12 +130,25 @@ def symbols(text: str) -> np.ndarray:
     return TABLE[np.minimum(codes, len(TABLE) - 1)]
 
 
+def reach(text: str, start: int, end: int) -> tuple[int, int]:
+    """How far the address characters around an at-sign go."""
+    left = start - (text[start - 1 : start] == " ")
+    while left and (text[left - 1].isalnum() or text[left - 1] in "_.%+-"):
+        left -= 1
+    domain = DOMAIN.match(text, end)
+    return min(left, start), domain.end() if domain else end
+
+
 def window_starts(text: str) -> list[int]:
-    """Grid windows that hold a trigger; each trigger lies in two of them, but at the text's start."""
+    """Grid windows that hold a trigger, each of which lies in two of them but at the text's start, or what an at-sign reaches."""
     starts: set[int] = set()
     for match in TRIGGER.finditer(text):
         cell = match.start() // GRID
         starts.update((cell * GRID, (cell - 1) * GRID))
+        if not "0" <= match[0] <= "9":
+            left, right = reach(text, *match.span())
+            quarter = (WINDOW - GRID) // 2
+            starts.update(range((left - 1 - quarter) // GRID * GRID, (right - quarter) // GRID * GRID + 1, GRID))
     return sorted(starts)
 
 
@@ -161,8 +181,14 @@ def join(starts: list[int], labels: np.ndarray) -> list[Span]:
 
 
 def whole(text: str, span: Span) -> Span:
-    """The span with the bracket that opens its first group, where the tagger has begun after it."""
+    """The span with the bracket that opens its first group, where the tagger has begun after it; an address with all
+    its at-sign reaches, as the base pattern has it."""
     start, end, kind = span
+    if kind == "email" and (sign := AT_SIGN.search(text, max(0, start), max(0, end))):
+        left, right = reach(text, *sign.span())
+        while left < sign.start() and text[left] in ".%+-":
+            left += 1
+        return min(start, left), max(end, right), kind
     opens = kind == "phone" and start > 0 and text[start - 1] == "(" and text[start:end].count(")") > text[start:end].count("(")
     return start - opens, end, kind
 
@@ -174,7 +200,7 @@ def plausible(text: str, span: Span) -> bool:
         return False
     part, digits = text[start:end], digits_of(text[start:end])
     if kind == "email":
-        return re.fullmatch(r"[\w.%+-]+ ?(?:@|[(\[]at[)\]]) ?[\w-]+(?:(?:\.| ?[(\[]dot[)\]] ?)[\w-]+)+", part) is not None
+        return (match := ADDRESS.match(text, start)) is not None and match.end() == end
     outside = not (start and text[start - 1].isalnum()) and not (end < len(text) and text[end].isalnum())
     if not outside or not part[0].isalnum() and part[0] not in "(+" or not part[-1].isdigit():
         return False
@@ -187,6 +213,14 @@ def plausible(text: str, span: Span) -> bool:
     return 9 <= len(digits) <= 15 and len(groups) >= 3 and re.fullmatch(r"\+?[0-9() ./-]+", part) is not None and max(map(len, groups)) <= 6
 
 
+def bracketed(text: str) -> Iterator[Span]:
+    """Addresses with an at-sign spelled out in brackets: unlike a bare "at", these need no tagger."""
+    for sign in BRACKETED.finditer(text):
+        span = whole(text, (*sign.span(), "email"))
+        if plausible(text, span):
+            yield span
+
+
 class Finder:
     """Base spans and those the tagger adds."""
 
@@ -194,8 +228,9 @@ class Finder:
         self.tagger = tagger
 
     def added(self, texts: list[str | None], base: list[list[Span]], strip: int = 4096) -> list[list[Span]]:
-        """The tagger's own spans of each text."""
-        more: list[list[Span]] = [[] for _ in texts]
+        """The tagger's own spans of each text, and bracketed addresses."""
+        apart = lambda n, s: not any(s[0] < e and b < s[1] for b, e, _ in base[n])
+        more = [[s for s in bracketed(text or "") if apart(n, s)] for n, text in enumerate(texts)]
         if self.tagger is None:
             return more
         held: list[tuple[int, list[int], np.ndarray]] = []
@@ -208,9 +243,9 @@ class Finder:
             windows, owners = np.unique(np.concatenate([w for _, _, w in held]), axis=0, return_inverse=True)
             labels, at = self.tagger.decode(windows)[owners.reshape(-1)], 0
             for n, starts, own in held:
-                spans = [whole(texts[n], s) for s in join(starts, labels[at : at + len(own)])]
+                spans = dict.fromkeys(whole(texts[n], s) for s in join(starts, labels[at : at + len(own)]))
                 at += len(own)
-                more[n] += [s for s in spans if not any(s[0] < e and b < s[1] for b, e, _ in base[n]) and plausible(texts[n], s)]
+                more[n] += [s for s in spans if s not in more[n] and apart(n, s) and plausible(texts[n], s)]
             held.clear()
             count = 0
 
@@ -246,7 +281,7 @@ def rewritten(part: str, kind: str, rng: random.Random) -> tuple[str, int, int]:
     """Another form of a span's text, and which part of it is the span."""
     digits = digits_of(part)
     if kind == "email":
-        text = part.replace("@", rng.choice(["@", " (at) ", "[at]", " [at] ", "(at)"]))
+        text = part.replace("@", rng.choice(["@", " (at) ", "[at]", " [at] ", "(at)", "(AT)", "{at}", " {at} ", " [AT] ", " at "]))
     elif kind == "phone":
         local = digits[-10:]
         a, b, c = local[:3], local[3:6], local[6:]
@@ -272,6 +307,7 @@ def look_alike(rng: random.Random) -> str:
             "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=20)),
             f"{n(1, 99)},{n(100, 999)},{n(100, 999)}",
             f"@{rng.choice(['home', 'news', 'you'])}",
+            f"{rng.choice(['it', 'look', 'more'])} at {rng.choice(['www.example.org', 'example.com', 'home.'])}",
             n(1, 9_999_999),
         ]
     )

@@ -115,3 +115,34 @@ def test_query_counts(spark):
     clean = [r[0] for r in docs.select(personal_data.redact(docs["text"], finder)).collect()]
     assert clean == ["[EMAIL], [EMAIL]", None, ""]
     assert personal_data.learn(docs.where("false")).tagger is None
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    return personal_data.learn(catalog.table(spark, "/root/testdata/sf0.1", "documents").where("doc_id % 2 = 0"))
+
+
+SPELLED = [
+    "firstname.lastname [at] mail.example.com",
+    "first.last(at)department.university.edu",
+    "ann.ott.3 (AT) mail.example.com",
+    "ann.ott.3{at}mail.example.com",
+    "ann.ott.3 at mail.example.com",
+    "a.very.long.name.of.more.than.32.places (at) a.very.long.domain.of.more.than.32.places.example.com",
+]
+
+
+@pytest.mark.parametrize("address", [a for a in SPELLED if " at " not in a])
+def test_spelled_out_addresses_at_every_offset(address, learned):
+    texts = ["The onat wh " + "x" * n + " " + address + " of the" for n in range(32)]
+    wanted = [[(13 + n, 13 + n + len(address), "email")] for n in range(32)]
+    got = [sorted(s for s in every if s[2] == "email") for _, every in learned.find(texts)]
+    assert got == wanted
+
+
+def test_labels_cover_what_an_address_reaches():
+    for address in SPELLED:
+        for n in range(64):
+            text = "x " * (n // 2) + " " * (n % 2) + address + " of"
+            covered = {place for s in window_starts(text) for place in range(s + 16, s + 48)}
+            assert covered >= set(range(n, n + len(address)))
