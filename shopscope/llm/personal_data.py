@@ -50,8 +50,8 @@ BRACKETED = re.compile(r"[(\[{] ?at ?[)\]}]", re.I)
 DOMAIN = re.compile(rf" ?[\w-]+(?:{DOT}[\w-]+)*", re.I)
 ADDRESS = re.compile(rf"[\w.%+-]+ ?{AT} ?[\w-]+(?:{DOT}[\w-]+)+", re.I)
 LABELS = ("O", *(f"{part}-{kind}" for kind in KINDS for part in "BI"))
-# Symbols of the tagger; digits, letters by case, other letters and other signs each share one.
-SIGNS = "@.+-_()[]%:/,;!?#\"'=<> \n\t"
+# Symbols of the tagger; digits but 0, letters by case, other letters and other signs each share one.
+SIGNS = "@.+-_()[]%:/,;!?#\"'=<> \n\t0"
 SYMBOLS = 5 + len(SIGNS)
 
 Span = tuple[int, int, str]
@@ -209,8 +209,7 @@ def plausible(text: str, span: Span) -> bool:
         return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
     if kind == "card":
         return re.fullmatch(r"[0-9]{4}([ ./_-]?)(?:[0-9]{4}\1){2}[0-9]{1,7}|[0-9]{4}([ ./_-])[0-9]{6}\2[0-9]{5}", part) is not None and 12 <= len(digits) <= 19 and luhn(digits)
-    groups = re.findall(r"[0-9]+", part)
-    return 9 <= len(digits) <= 15 and len(groups) >= 3 and re.fullmatch(r"\+?[0-9() ./-]+", part) is not None and max(map(len, groups)) <= 6
+    return 9 <= len(digits) <= 15 and re.fullmatch(r"\+?[0-9() ./-]+", part) is not None
 
 
 def bracketed(text: str) -> Iterator[Span]:
@@ -283,9 +282,9 @@ def rewritten(part: str, kind: str, rng: random.Random) -> tuple[str, int, int]:
     if kind == "email":
         text = part.replace("@", rng.choice(["@", " (at) ", "[at]", " [at] ", "(at)", "(AT)", "{at}", " {at} ", " [AT] ", " at "]))
     elif kind == "phone":
-        local = digits[-10:]
+        local = digits[-10:] if rng.random() < 0.5 else "".join(rng.choices("0123456789", k=10))
         a, b, c = local[:3], local[3:6], local[6:]
-        text = rng.choice([part, part, f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{digits[:2]} {a} {b} {c}", f"{a} {b} {c}"])
+        text = rng.choice([part, part, f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{digits[:2]} {a} {b} {c}", f"{a} {b} {c}", f"0{a} {b}{c}", f"0{a}/{b}{c}", f"(0{a[1:]}) {b}{c}", f"({a}) {b}{c}", f"{a}-{b}{c}", f"0{a[1:]}{b}{c}"])
     elif kind == "card":
         text = rng.choice([part, part, *(s.join(digits[i : i + 4] for i in range(0, len(digits), 4)) for s in " -./")])
     else:
@@ -309,17 +308,40 @@ def look_alike(rng: random.Random) -> str:
             f"@{rng.choice(['home', 'news', 'you'])}",
             f"{rng.choice(['it', 'look', 'more'])} at {rng.choice(['www.example.org', 'example.com', 'home.'])}",
             n(1, 9_999_999),
+            n(10**8, 10**14),
+            n(1_000_000_000, 1_800_000_000),
+            f"{n(1, 99999)}.{n(10**5, 10**9)}",
+            f"{n(10**5, 10**7)}-{n(10**5, 10**7)}",
+            f"{n(1, 9)},{n(100, 999)},{n(100, 999)},{n(100, 999)}",
+            f"978-{n(0, 9)}-{n(10, 99)}-{n(100000, 999999)}-{n(0, 9)}",
+            f"{n(1990, 2030)}{n(10, 12)}{n(10, 28)}{n(100000, 235959)}",
+            f"{n(1990, 2030)}-{n(10, 12)}-{n(10, 28)} {n(10, 23)}{n(10, 59)}",
+            f"{n(1990, 2030)} {n(1990, 2030)} {n(1990, 2030)}",
         ]
     )
 
 
-def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Windows and labels: of the texts as they are, and with spans rewritten or replaced by look-alikes."""
+def training_windows(texts: list[str], seed: int = 11, each: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """Windows and labels: of the texts as they are, and with spans rewritten or replaced by look-alikes.
+
+    Phone numbers and addresses have the most forms, so their surroundings are taken again with some of them and look-alikes.
+    """
     rng, xs, ys = random.Random(seed), [], []
+    whole_texts = []
     for text in texts:
         spans = base_spans(text, strict=False)
         spans = [s for n, s in enumerate(spans) if not n or s[0] >= spans[n - 1][1]]
-        for version in range(3 if spans else 1):
+        whole_texts.append((text, spans, range(3 if spans else 1)))
+    around, taken = [], dict.fromkeys(KINDS, 0)
+    for text, spans, _ in whole_texts:
+        for n, (start, end, kind) in enumerate(spans):
+            if kind in ("phone", "email") and taken[kind] < each:
+                taken[kind] += 1
+                low = max(start - WINDOW, spans[n - 1][1] if n else 0)
+                high = min(end + WINDOW, spans[n + 1][0] if n + 1 < len(spans) else len(text))
+                around.append((text[low:high], [(start - low, end - low, kind)], [1, 3] * (6 if kind == "phone" else 4)))
+    for text, spans, versions in whole_texts + around:
+        for version in versions:
             parts: list[str] = []
             labels: list[int] = []
             at = 0
@@ -329,7 +351,7 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
                 first = 1 + 2 * KINDS.index(kind)
                 if version == 0:
                     piece, a, b = text[start:end], 0, end - start
-                elif version == 2 and rng.random() < 0.5:
+                elif version == 3 or version == 2 and rng.random() < 0.5:
                     piece, a, b = look_alike(rng), 0, 0
                 else:
                     piece, a, b = rewritten(text[start:end], kind, rng)
@@ -350,12 +372,15 @@ def training_windows(texts: list[str], seed: int = 11) -> tuple[np.ndarray, np.n
     return np.concatenate(xs), np.concatenate(ys)
 
 
-def fit(texts: list[str], windows: int = 2500, epochs: int = 10, hidden: int = 16) -> Finder:
+def fit(texts: list[str], windows: int = 4000, epochs: int = 10, hidden: int = 16) -> Finder:
     x, y = training_windows(texts)
     if not y.any():
         return Finder(None)
     order = np.random.default_rng(2).permutation(len(x))
-    order = np.concatenate([order[y[order].any(1)], order[~y[order].any(1)]])[:windows]
+    # windows without a span keep a third of the room
+    held, free = order[y[order].any(1)], order[~y[order].any(1)]
+    held = held[: max(windows - len(free), windows * 2 // 3)]
+    order = np.concatenate([held, free])[:windows]
     tagger = Tagger.fresh(SYMBOLS, len(LABELS), hidden)
     tagger.train(x[order], y[order], max(epochs, min(4 * epochs, epochs * windows // len(order))))
     return Finder(tagger)
