@@ -92,7 +92,7 @@ def base_spans(text: str | None, strict: bool = True) -> list[Span]:
         start, end = run.span()
         if start >= after_ip and text[end : end + 1] == "." and (match := IP.match(text, start)):
             after_ip = match.end()
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+            if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or "0") <= 255 for part in match[0].split(".")):
                 found.append((start, after_ip, "ip"))
         if start >= after_card and (match := CARD.match(text, start)):
             after_card = match.end()

@@ -158,3 +158,8 @@ def test_phone_numbers_of_one_and_two_groups(learned):
     alike = ["1697040000", "12345.678901", "1234567-1234570", "20231104123456", "1,234,567,890", "978-3-16-148410-0", "2023-11-04 1233"]
     texts = ["The onat wh " + "x" * n + f" {number} of the" for number in alike for n in range(32)]
     assert sum(any(s[2] == "phone" for s in every) for _, every in learned.find(texts)) <= len(texts) // 20
+
+
+def test_long_zeros_in_an_ip():
+    text = "0" * 5000 + "1.2.3.4"
+    assert base_spans(text) == [(0, len(text), "ip")]
