@@ -8,7 +8,8 @@ digit or an at-sign, in overlapping windows on a fixed grid; each character take
 middle half it lies, and spans are formed on the joined labels, so that a span across windows is found once. A span
 of the tagger is added where it touches no base span and its digits or parts hold what the kind demands.
 
-Training takes at most ``sample`` texts of at most ``characters`` each, in the order of a hash; tagging reads all.
+Training takes at most ``sample`` texts, or pieces of longer ones, of at most ``characters`` each, in the order of a
+hash; tagging reads all.
 
 Defined cases: null and empty texts have no spans; offsets count code points, ends are exclusive; base kinds may
 overlap each other; without any labelled span in the sample the tagger is not trained and adds nothing.
@@ -387,9 +388,10 @@ def fit(texts: list[str], windows: int = 4000, epochs: int = 10, hidden: int = 1
 
 
 def learn(docs: DataFrame, sample: int = 1200, characters: int = 6000) -> Finder:
-    """Train on a bounded sample of the texts that hold a digit or an at-sign."""
-    size = F.length("text")
-    fitting = docs.where((size > 0) & (size <= characters) & F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("order"))
+    """Train on a bounded sample of the texts, or pieces of longer texts, that hold a digit or an at-sign."""
+    pieces = F.when(F.length("text") <= characters, F.array("text")).otherwise(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{characters}}}"), F.lit(0)))
+    cut = docs.where(F.col("text").rlike("[0-9@]")).select(F.explode(pieces).alias("text"))
+    fitting = cut.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("order"))
     # hashes first, so that no task sends more texts than are wanted in all
     last = fitting.select("order").distinct().orderBy("order").limit(sample).agg(F.max("order")).first()[0]
     rows = fitting.where(F.col("order") <= F.lit(last).cast("long")).dropDuplicates(["order"]).orderBy("order").collect()

@@ -163,3 +163,9 @@ def test_phone_numbers_of_one_and_two_groups(learned):
 def test_long_zeros_in_an_ip():
     text = "0" * 5000 + "1.2.3.4"
     assert base_spans(text) == [(0, len(text), "ip")]
+
+
+def test_long_texts_are_learned_from(spark):
+    long = " ".join(f"wo wort{n} wer" for n in range(800)) + " mail ann.ott@mail.example.com of " + "und so " * 2000
+    docs = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    assert len(long) > 6000 and personal_data.learn(docs).tagger is not None
