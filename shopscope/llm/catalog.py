@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopscope.llm import byte_pairs, conversations, decontamination, licenses, nearest, personal_data, token_files, toxicity, web_archives, weighted_dedup
+from shopscope.llm import byte_pairs, conversations, decontamination, licenses, nearest, personal_data, token_alignment, token_files, toxicity, web_archives, weighted_dedup
 from shopscope.sources.workspace import Workspace
 
 
@@ -76,6 +76,12 @@ def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
+def op13_token_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align(table(spark, directory, "documents"), *files, Workspace(spark)).documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_pairs": op1_byte_pairs,
     "op2_toxicity": op2_toxicity,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_nearest": op9_nearest,
     "op10_personal_data": op10_personal_data,
+    "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
