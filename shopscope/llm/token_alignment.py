@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,15 @@ from shopscope.sources.workspace import Workspace
 Array = np.ndarray
 
 #: Bytes of text whose tokens are walked together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: A block is closed once it has so many bytes of text, or so many documents.
-BLOCK_BYTES, BLOCK_DOCUMENTS = 16 << 20, 20_000
+BLOCK_BYTES, BLOCK_DOCUMENTS = 8 << 20, 20_000
 #: A lane has about so many tokens of A; it ends at the next cut.
 LANE = 1500
 #: Characters handed to sentencepiece at once; longer texts are cut at the next blank between other characters.
 PIECE = 1 << 16
 BLANK = re.compile(r"(?<=\S) (?=\S)")
-#: Distinct units whose ids of A a task remembers.
+#: Distinct units whose ids a task remembers for each side; beyond it, it forgets all of them.
 REMEMBERED = 300_000
 #: An id pair is one number: A's id above these bits, B's below.
 SHIFT = 16
@@ -63,6 +64,39 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+class Units:
+    """Ids of texts put together from those of their parts between single blanks, each distinct part being encoded once."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.pool = np.zeros(0, np.int32)
+        self.starts = np.zeros(1, np.int64)
+
+    def ids(self, texts: list[str]) -> list[Array]:
+        """Of texts without blanks at their ends or next to each other."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        table = lists.values.dictionary_encode()
+        distinct = table.dictionary.to_pylist()
+        new = [unit for unit in distinct if unit not in self.known]
+        if new:
+            found = self.encode(new)
+            self.pool = np.concatenate([self.pool, np.array([i for ids in found for i in ids], np.int32)])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(list(map(len, found)))])
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        own = np.array([self.known[unit] for unit in distinct], np.int64)[table.indices.to_numpy()]
+        lengths = self.starts[own + 1] - self.starts[own]
+        ends = np.cumsum(lengths)
+        flat = self.pool[np.repeat(self.starts[own] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
+        return [flat[low:high].astype(np.int64) for low, high in zip(bounds[:-1], bounds[1:])]
+
+
 class Pair:
     """Both tokenizers, with the bytes of their tokens by id."""
 
@@ -83,6 +117,7 @@ class Pair:
         self.a_lengths, self.b_lengths = (np.array(list(map(len, table)), np.int64) for table in (self.a_bytes, self.b_bytes))
         # without a piece that goes on with a blank, no merge crosses the place before a blank
         self.cuttable = not any("▁" in piece.lstrip("▁") for piece in pieces)
+        self.units = Units(lambda parts: self.b.encode(parts, num_threads=1))
 
     def encode_b(self, text: str) -> Array:
         if len(text) <= PIECE or not self.cuttable:
@@ -94,13 +129,21 @@ class Pair:
         found.append(self.b.encode(text[start:], num_threads=1))
         return np.concatenate([np.array(part, np.int64) for part in found])
 
+    def encode_all_b(self, texts: list[str]) -> list[Array]:
+        """Of texts that aren't empty. The library puts a blank in front of each part, where the text has it."""
+        simple = [self.cuttable and "▁" not in text and "  " not in text and text[0] != " " and text[-1] != " " for text in texts]
+        parts = [text for text, yes in zip(texts, simple) if yes]
+        found = iter(self.units.ids(parts) if parts else [])
+        return [next(found) if yes else self.encode_b(text) for text, yes in zip(texts, simple)]
+
     def tokens(self, texts: list[str | None]) -> tuple[list[Array], list[Array]]:
         """A's and B's ids of each text; none where either side's bytes are not those of blank and text."""
         if len(self.a.known) > REMEMBERED:
             self.a._forget()
         own = [f" {text}" if text else "" for text in texts]
         ids_a = [ids.astype(np.int64) for ids in self.a.encode(pa.array(own, pa.string()))]
-        ids_b = [self.encode_b(text) if text else np.zeros(0, np.int64) for text in texts]
+        found = iter(self.encode_all_b([text for text in texts if text]))
+        ids_b = [next(found) if text else np.zeros(0, np.int64) for text in texts]
         for n, text in enumerate(own):
             raw = text.encode()
             sides = ((self.a_bytes, ids_a[n]), (self.b_bytes, ids_b[n]))
@@ -130,7 +173,7 @@ def lockstep(ends_a: Array, ends_b: Array, at_a: Array, at_b: Array, stop_a: Arr
         if not running.all():
             at_a, at_b, stop_a = at_a[running], at_b[running], stop_a[running]
     if not cuts:
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int32)
         return none, none, np.zeros(0, bool)
     return np.concatenate(links_a), np.concatenate(links_b), np.concatenate(cuts)
 
@@ -163,7 +206,7 @@ def lanes(ends_a: Array, ends_b: Array, bounds_a: Array, bounds_b: Array) -> tup
             starts_a.append(low_a)
             starts_b.append(low_b)
             stops.append(high_a)
-    return np.array(starts_a, np.int64), np.array(starts_b, np.int64), np.array(stops, np.int64)
+    return np.array(starts_a, np.int32), np.array(starts_b, np.int32), np.array(stops, np.int32)
 
 
 @functools.lru_cache(maxsize=1)

@@ -7,6 +7,8 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -112,3 +114,10 @@ def test_query_over_the_whole_table(spark):
     directory = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in catalog.table(spark, directory, "documents").select("doc_id", F.col("text")).collect()]
     assert rows_of(catalog.op13_token_alignment(spark, directory)) == sorted(brute_force(docs)[1], key=str)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab é\n\t .,'1  ▁東<>0xA\x00", min_size=1, max_size=30), min_size=1, max_size=5))
+def test_parts_give_the_ids_of_whole_texts(texts):
+    pair = token_alignment._pair(A, B)
+    assert [ids.tolist() for ids in pair.encode_all_b(texts)] == [pair.b.encode(text) for text in texts]
