@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopscope.llm import byte_pairs, conversations, decontamination, licenses, nearest, personal_data, token_alignment, token_files, toxicity, web_archives, weighted_dedup
+from shopscope.llm import byte_pairs, conversations, decontamination, language_net, licenses, merkle_manifest, nearest, personal_data, token_alignment, token_files, toxicity, web_archives, weighted_dedup
 from shopscope.sources.workspace import Workspace
 
 
@@ -76,6 +76,18 @@ def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
+def op11_merkle_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every document."""
+    return merkle_manifest.verified(table(spark, directory, "documents"), Workspace(spark))
+
+
+def op12_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document."""
+    docs = table(spark, directory, "documents")
+    found = language_net.detect(docs["text"], language_net.learn(docs))
+    return docs.select("doc_id", language_net.held_out(docs["doc_id"]).alias("held_out"), found.alias("found")).select("doc_id", "held_out", "found.*")
+
+
 def op13_token_alignment(spark: SparkSession, directory: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every document."""
     files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -93,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_nearest": op9_nearest,
     "op10_personal_data": op10_personal_data,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_language_id": op12_language_id,
     "op13_token_alignment": op13_token_alignment,
     "pipeline": corpus_pipeline.run,
 }
@@ -100,4 +114,5 @@ SQL: dict[str, str] = {
     "op4_licenses": licenses.SQL,
     "op6_conversations": conversations.SQL,
     "op7_decontamination": decontamination.SQL,
+    "op11_merkle_manifest": merkle_manifest.SQL,
 }
