@@ -9,10 +9,12 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shopscope.sources.schemas import AUDIT_SCHEMA, RAW_SCHEMAS, unpadded
+from shopscope.sources.split_records import multi_line_records
+from shopscope.sources.workspace import Workspace
 
 # Spark takes an unquoted empty field for NULL as soon as the NULL marker is anything but empty;
 # this marker cannot occur in the text of a database export.
@@ -24,68 +26,21 @@ MULTI_LINE_TABLES = frozenset({"reviews"})
 _FORMAT = {"mode": "FAILFAST", "quote": '"', "escape": '"', "nullValue": _NULL_MARKER}
 
 
-def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool | None = None) -> DataFrame:
-    """The file or folder at ``path`` as ``table``. Columns go by position; a bad row fails the job."""
+def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool | None = None, workspace: Workspace | None = None) -> DataFrame:
+    """The file or folder at ``path`` as ``table``. Columns go by position; a bad row fails the job.
+
+    Text with line breaks is read once when this is called, to find where records start; what that pass notes of each
+    split is kept in ``workspace``, or in one of its own that lasts as long as the application.
+    """
     schema = RAW_SCHEMAS[table]
     if table in MULTI_LINE_TABLES if multi_line is None else multi_line:
         kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema)
         parsed = F.from_csv("record", kinds, {**_FORMAT, "lineSep": "\n"})
-        return multi_line_records(spark, path).select(parsed.alias("row")).select("row.*")
-    return unpadded(spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **_FORMAT), table)
-
-
-def multi_line_records(spark: SparkSession, path: str) -> DataFrame:
-    """CSV records with quoted line breaks, from files that are still read in splits.
-
-    Spark's own multi-line mode gives a whole file to one task. Here every split counts the quotes
-    of its lines; the parity up to a line tells whether it starts a record. All lines are shuffled
-    to their split once, splits are put in order within their file, and only the lines of broken
-    records are shuffled again to be joined. A file with an odd number of quotes has one that is
-    never closed; it fails by name before any line is joined. With an even number of stray quotes
-    the lines between two of them are one record, as in any CSV reader. Blank lines outside of
-    quotes are skipped.
-    """
-    lines = spark.read.option("lineSep", "\n").text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-        "value",
-        F.pmod(F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit(""))), F.lit(2)).alias("odd"),
-    )
-    in_split = Window.partitionBy("file", "split").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-
-    parity = lines.groupBy("file", "split").agg(F.sum("odd").alias("quotes"))
-    unclosed = F.pmod(F.sum("quotes").over(Window.partitionBy("file")), F.lit(2)) == 1
-    message = F.concat(F.lit("a quote is never closed in "), F.col("file"))
-    opened = parity.select(
-        "file",
-        "split",
-        F.when(unclosed, F.raise_error(message).cast("bigint"))
-        .otherwise(F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
-        .alias("open"),
-    )
-    before = F.col("open") + F.sum("odd").over(in_split) - F.col("odd")
-    marked = lines.join(opened, ["file", "split"]).withColumn("start", F.pmod(before, F.lit(2)) == 0)
-    numbered = marked.withColumn("number", F.sum(F.col("start").cast("int")).over(in_split))
-
-    # Lines before the first start of a split belong to the last record of an earlier split.
-    starts = numbered.groupBy("file", "split").agg(F.max("number").alias("starts"))
-    last = F.last(F.when(F.col("starts") > 0, F.struct(F.col("split").alias("split"), F.col("starts").alias("number"))), True)
-    owners = starts.select("file", "split", last.over(earlier).alias("owner"))
-    own = F.struct(F.col("split").alias("split"), F.col("number").cast("bigint").alias("number"))
-    owned = numbered.join(owners, ["file", "split"]).withColumn(
-        "id", F.when(F.col("number") > 0, own).otherwise(F.col("owner"))
-    )
-    content = owned.filter((F.col("id.split") > 0) | (F.col("id.number") > 1))  # the first record is the header
-
-    whole = F.col("start") & (F.col("odd") == 0)
-    parts = content.filter(~whole).groupBy("file", "id").agg(
-        F.sort_array(F.collect_list(F.struct("split", "line", "value"))).alias("parts")
-    )
-    joined = parts.select(F.array_join(F.col("parts.value"), "\n").alias("record"))
-    records = content.filter(whole).select(F.col("value").alias("record")).unionByName(joined)
-    return records.select(F.regexp_replace("record", "\r$", "").alias("record")).filter("record <> ''")
+        records = multi_line_records(spark, path, Workspace(spark, workspace and workspace.location(table)))
+        rows = records.select(parsed.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=True, **_FORMAT)
+    return unpadded(rows, table)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -111,12 +66,14 @@ def load(spark: SparkSession, files: dict[str, str], target: str) -> dict[str, D
 
     def one(table: str) -> tuple:
         seen = Observation(f"load_{table}")
-        counted = read_csv(spark, table, files[table]).observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = read_csv(spark, table, files[table], workspace=workspace).observe(seen, F.count(F.lit(1)).alias("rows"))
         counted.write.mode("overwrite").parquet(f"{target}/{table}")
         return table, datetime.now(UTC).replace(tzinfo=None), seen.get["rows"], "SUCCESS"
 
+    workspace = Workspace(spark)
     with ThreadPoolExecutor(max(1, len(files))) as pool:
         loads = [pool.submit(one, table) for table in files]
+    workspace.discard()
     done = [load.result() for load in loads if load.exception() is None]
     spark.createDataFrame(done, AUDIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{target}/load_audit")
     for load in loads:
