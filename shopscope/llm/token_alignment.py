@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +37,6 @@ from pyspark.sql import functions as F
 
 from shopscope.llm.batches import bounded, gathered, pieces
 from shopscope.llm.storage import Output, reader
-from shopscope.llm.token_files import Encoder
 from shopscope.session import shuffle_width
 from shopscope.sources.workspace import Workspace
 
@@ -51,8 +51,10 @@ LANE = 1500
 #: Characters handed to sentencepiece at once; longer texts are cut at the next blank between other characters.
 PIECE = 1 << 16
 BLANK = re.compile(r"(?<=\S) (?=\S)")
-#: Distinct units whose ids a task remembers for each side; beyond it, it forgets all of them.
-REMEMBERED = 300_000
+#: A text with a blank at an end or beside other white space, or with B's mark for blanks, isn't cut into parts.
+WHOLE = re.compile(r"^ | $|\s | \s|▁")
+#: Distinct parts whose ids a task remembers; beyond it, it forgets all of them.
+REMEMBERED = 700_000
 #: An id pair is one number: A's id above these bits, B's below.
 SHIFT = 16
 
@@ -64,49 +66,25 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
-class Units:
-    """Ids of texts put together from those of their parts between single blanks, each distinct part being encoded once."""
-
-    def __init__(self, encode):
-        self.encode = encode
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
-
-    def ids(self, texts: list[str]) -> list[Array]:
-        """Of texts without blanks at their ends or next to each other."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
-        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        table = lists.values.dictionary_encode()
-        distinct = table.dictionary.to_pylist()
-        new = [unit for unit in distinct if unit not in self.known]
-        if new:
-            found = self.encode(new)
-            self.pool = np.concatenate([self.pool, np.array([i for ids in found for i in ids], np.int32)])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(list(map(len, found)))])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        own = np.array([self.known[unit] for unit in distinct], np.int64)[table.indices.to_numpy()]
-        lengths = self.starts[own + 1] - self.starts[own]
-        ends = np.cumsum(lengths)
-        flat = self.pool[np.repeat(self.starts[own] - (ends - lengths), lengths) + np.arange(ends[-1])]
-        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy()]
-        return [flat[low:high].astype(np.int64) for low, high in zip(bounds[:-1], bounds[1:])]
-
-
 class Pair:
-    """Both tokenizers, with the bytes of their tokens by id."""
+    """Both tokenizers, with the bytes of their tokens by id.
+
+    Most texts can be cut before every blank: A's pattern starts a match there, and no merge of B crosses the place if no
+    piece goes on with a blank. Each distinct part is encoded, and compared with its bytes, once for as long as it is
+    remembered. Texts with blanks beside other white space go to both libraries as a whole.
+    """
 
     def __init__(self, a_file: str, b_file: str):
         import sentencepiece
 
-        self.a = Encoder(a_file)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.a = Tokenizer.from_file(a_file)
+        self.a.encode_special_tokens = True  # their strings are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_file)
         to_byte = byte_of_character()
-        names = [self.a.tokenizer.id_to_token(n) for n in range(self.a.tokenizer.get_vocab_size())]
+        names = [self.a.id_to_token(n) for n in range(self.a.get_vocab_size())]
         self.a_bytes = [bytes(map(to_byte.get, name)) if all(c in to_byte for c in name) else name.encode() for name in names]
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
         self.b_bytes = [
@@ -115,41 +93,76 @@ class Pair:
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << SHIFT:
             raise ValueError("vocabularies of more than 65,536 ids are not supported")
         self.a_lengths, self.b_lengths = (np.array(list(map(len, table)), np.int64) for table in (self.a_bytes, self.b_bytes))
-        # without a piece that goes on with a blank, no merge crosses the place before a blank
         self.cuttable = not any("▁" in piece.lstrip("▁") for piece in pieces)
-        self.units = Units(lambda parts: self.b.encode(parts, num_threads=1))
+        self._forget()
 
-    def encode_b(self, text: str) -> Array:
-        if len(text) <= PIECE or not self.cuttable:
-            return np.array(self.b.encode(text, num_threads=1), np.int64)
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.equal = np.zeros(0, bool)
+        self.pools = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def same(self, text: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        """Whether both sides' bytes are those of blank and text."""
+        raw = f" {text}".encode()
+        return b"".join([self.a_bytes[i] for i in ids_a]) == raw and b"".join([self.b_bytes[i] for i in ids_b]) == raw
+
+    def _learn(self, parts: list[str]) -> None:
+        encoding = self.a.encode([f" {part}" for part in parts], is_pretokenized=True, add_special_tokens=False)
+        owners = np.array(encoding.word_ids, np.int64)
+        bounds = np.searchsorted(owners, np.arange(len(parts) + 1)).tolist()
+        ids = encoding.ids
+        sides = [[ids[low:high] for low, high in zip(bounds[:-1], bounds[1:])], self.b.encode(parts, num_threads=1)]
+        self.equal = np.concatenate([self.equal, [self.same(part, x, y) for part, x, y in zip(parts, *sides)]])
+        for n, found in enumerate(sides):
+            self.pools[n] = np.concatenate([self.pools[n], np.array([i for own in found for i in own], np.int32)])
+            self.starts[n] = np.concatenate([self.starts[n], self.starts[n][-1] + np.cumsum(list(map(len, found)))])
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
+
+    def _by_parts(self, texts: list[str]) -> Iterator[tuple[Array, Array]]:
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        table = lists.values.dictionary_encode()
+        distinct = table.dictionary.to_pylist()
+        if new := [part for part in distinct if part not in self.known]:
+            self._learn(new)
+        own = np.array([self.known[part] for part in distinct], np.int64)[table.indices.to_numpy()]
+        offsets = lists.offsets.to_numpy()
+        wrong = np.concatenate([[0], np.cumsum(~self.equal[own])])[offsets]
+        sides = []
+        for pool, starts in zip(self.pools, self.starts):
+            lengths = starts[own + 1] - starts[own]
+            ends = np.cumsum(lengths)
+            flat = pool[np.repeat(starts[own] - (ends - lengths), lengths) + np.arange(ends[-1])].astype(np.int64)
+            bounds = np.concatenate([[0], ends])[offsets].tolist()
+            sides.append([flat[low:high] for low, high in zip(bounds[:-1], bounds[1:])])
+        none = np.zeros(0, np.int64)
+        for ok, ids_a, ids_b in zip(np.diff(wrong) == 0, *sides):
+            yield (ids_a, ids_b) if ok else (none, none)
+
+    def encode_whole_b(self, text: str) -> list[int]:
+        """Long texts are cut before blanks between other characters; the library puts a blank in front of what it gets."""
         found, start = [], 0
-        while len(text) - start > PIECE and (blank := BLANK.search(text, start + PIECE)):
-            found.append(self.b.encode(text[start : blank.start()], num_threads=1))
-            start = blank.end()  # the library puts a blank in front of what it gets
-        found.append(self.b.encode(text[start:], num_threads=1))
-        return np.concatenate([np.array(part, np.int64) for part in found])
-
-    def encode_all_b(self, texts: list[str]) -> list[Array]:
-        """Of texts that aren't empty. The library puts a blank in front of each part, where the text has it."""
-        simple = [self.cuttable and "▁" not in text and "  " not in text and text[0] != " " and text[-1] != " " for text in texts]
-        parts = [text for text, yes in zip(texts, simple) if yes]
-        found = iter(self.units.ids(parts) if parts else [])
-        return [next(found) if yes else self.encode_b(text) for text, yes in zip(texts, simple)]
+        while self.cuttable and len(text) - start > PIECE and (blank := BLANK.search(text, start + PIECE)):
+            found += self.b.encode(text[start : blank.start()], num_threads=1)
+            start = blank.end()
+        return found + self.b.encode(text[start:], num_threads=1)
+
+    def _whole(self, text: str) -> tuple[Array, Array]:
+        ids_a, ids_b = self.a.encode(f" {text}", add_special_tokens=False).ids, self.encode_whole_b(text)
+        if not self.same(text, ids_a, ids_b):
+            ids_a, ids_b = [], []
+        return np.array(ids_a, np.int64), np.array(ids_b, np.int64)
 
     def tokens(self, texts: list[str | None]) -> tuple[list[Array], list[Array]]:
         """A's and B's ids of each text; none where either side's bytes are not those of blank and text."""
-        if len(self.a.known) > REMEMBERED:
-            self.a._forget()
-        own = [f" {text}" if text else "" for text in texts]
-        ids_a = [ids.astype(np.int64) for ids in self.a.encode(pa.array(own, pa.string()))]
-        found = iter(self.encode_all_b([text for text in texts if text]))
-        ids_b = [next(found) if text else np.zeros(0, np.int64) for text in texts]
-        for n, text in enumerate(own):
-            raw = text.encode()
-            sides = ((self.a_bytes, ids_a[n]), (self.b_bytes, ids_b[n]))
-            if not all(b"".join([table[i] for i in ids.tolist()]) == raw for table, ids in sides):
-                ids_a[n] = ids_b[n] = np.zeros(0, np.int64)
-        return ids_a, ids_b
+        none = np.zeros(0, np.int64)
+        parted = [bool(text) and self.cuttable and not WHOLE.search(text) for text in texts]
+        own = [text for text, yes in zip(texts, parted) if yes]
+        found = self._by_parts(own) if own else iter(())
+        both = [next(found) if yes else self._whole(text) if text else (none, none) for text, yes in zip(texts, parted)]
+        return [ids for ids, _ in both], [ids for _, ids in both]
 
 
 @functools.lru_cache(maxsize=1)
