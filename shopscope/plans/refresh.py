@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopscope.plans import gold, silver, views
+from shopscope.plans import gold, silver, view_sql
 from shopscope.sources import csv_files
+from shopscope.sources.releases import Release
 from shopscope.sources.workspace import Workspace
 
 LAYERS = ("bronze", "silver", "gold")
 
-VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "v_customer_segments": views.customer_segments,
-    "v_customer_type_performance": views.customer_type_performance,
-    "v_revenue_concentration": views.revenue_concentration,
-    "v_customer_experience": views.customer_experience,
-    "v_retention_opportunities": views.retention_opportunities,
-}
-
-
 class DuplicateKeys(Exception):
     """A gold table holds a key more than once."""
 
@@ -31,38 +23,29 @@ def create_namespaces(spark: SparkSession, target: str, prefix: str = "") -> Non
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{target}/{layer}'")
 
 
-def _publish(spark: SparkSession, target: str, prefix: str, layer: str, name: str, df: DataFrame) -> DataFrame:
-    """Replace a table; it is stored below ``target`` and known to the catalog."""
-    table = f"{prefix}{layer}.{name}"
-    df.write.mode("overwrite").option("path", f"{target}/{layer}/{name}").saveAsTable(table)
-    return spark.table(table)
-
+def build_silver(raw: Mapping[str, DataFrame], release: Release) -> dict[str, DataFrame]:
+    return {name: release.store("silver", name, df) for name, df in silver.build(raw).items()}
 
-def build_silver(spark: SparkSession, raw: Mapping[str, DataFrame], target: str, prefix: str = "") -> dict[str, DataFrame]:
-    return {name: _publish(spark, target, prefix, "silver", name, df) for name, df in silver.build(raw).items()}
 
-
-def build_gold(spark: SparkSession, tables: Mapping[str, DataFrame], target: str, prefix: str = "") -> dict[str, DataFrame]:
+def build_gold(tables: Mapping[str, DataFrame], release: Release) -> dict[str, DataFrame]:
     """Store the six gold tables. Each is computed from stored ones, so no step repeats another."""
 
-    def publish(name: str, df: DataFrame) -> DataFrame:
-        return _publish(spark, target, prefix, "gold", name, df)
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return release.store("gold", name, df)
 
-    workspace = Workspace(spark)
+    workspace = Workspace(release.spark)
     try:
-        built = {"order_summary": publish("order_summary", gold.order_summary(tables))}
+        built = {"order_summary": store("order_summary", gold.order_summary(tables))}
         require_unique(built["order_summary"], "gold.order_summary", "order_id")  # what follows counts orders by rows
         facts = workspace.store("customer_facts", gold.customer_facts(built["order_summary"], tables["customers"]))
-        built["customer_360"] = publish("customer_360", gold.customer_360(facts))
-        built["customer_category_behavior"] = publish(
-            "customer_category_behavior", gold.customer_category_behavior(tables)
-        )
-        built["customer_experience"] = publish(
+        built["customer_360"] = store("customer_360", gold.customer_360(facts))
+        built["customer_category_behavior"] = store("customer_category_behavior", gold.customer_category_behavior(tables))
+        built["customer_experience"] = store(
             "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"], workspace)
         )
-        built["customer_intelligence"] = publish("customer_intelligence", gold.customer_intelligence(facts, workspace))
+        built["customer_intelligence"] = store("customer_intelligence", gold.customer_intelligence(facts, workspace))
         profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
-        built["executive_kpis"] = publish("executive_kpis", gold.executive_kpis(profile))
+        built["executive_kpis"] = store("executive_kpis", gold.executive_kpis(profile))
     finally:
         workspace.discard()
     return built
@@ -80,21 +63,29 @@ def check_gold(built: Mapping[str, DataFrame]) -> None:
         require_unique(built[name], f"gold.{name}", gold.PERSON)
 
 
-def publish_views(spark: SparkSession, built: Mapping[str, DataFrame], target: str, prefix: str = "") -> dict[str, DataFrame]:
-    """The management views as tables of the gold schema, of at most six rows each, so that any session finds them."""
-    profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
-    return {name: _publish(spark, target, prefix, "gold", name, view(profile)) for name, view in VIEWS.items()}
+def create_views(spark: SparkSession, prefix: str = "") -> dict[str, DataFrame]:
+    """The management views in the gold schema, as SQL text that is run when they are read, from any session."""
+    schema = f"{prefix}gold"
+    known = {table.name: table.tableType for table in spark.catalog.listTables(schema)}
+    for name, select in view_sql.definitions(schema).items():
+        if known.get(name, "VIEW") != "VIEW":  # a table of that name, from before there were views
+            spark.sql(f"DROP TABLE {schema}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {select}")
+    return {name: spark.table(f"{schema}.{name}") for name in view_sql.definitions(schema)}
 
 
 def refresh(spark: SparkSession, files: dict[str, str], target: str, prefix: str = "") -> dict[str, DataFrame]:
-    """Run everything and return the gold tables and views by name."""
+    """Run everything and return the gold tables and views by name.
+
+    All layers are written as one release and published together once the checks have passed; until then, and if
+    anything fails, readers have the tables of the refresh before.
+    """
     create_namespaces(spark, target, prefix)
-    raw = csv_files.load(spark, files, f"{target}/bronze")
-    for name in raw:
-        table = f"{prefix}bronze.{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{target}/bronze/{name}'")
-        spark.catalog.refreshTable(table)
-    tables = build_silver(spark, raw, target, prefix)
-    built = build_gold(spark, tables, target, prefix)
+    release = Release(spark, target)
+    raw = csv_files.load(spark, files, release.location("bronze"))
+    for name, df in {**raw, "load_audit": csv_files.load_audit(spark, release.location("bronze"))}.items():
+        release.add("bronze", name, df)
+    built = build_gold(build_silver(raw, release), release)
     check_gold(built)
-    return {**built, **publish_views(spark, built, target, prefix)}
+    release.publish(prefix)
+    return {**{name: spark.table(f"{prefix}gold.{name}") for name in built}, **create_views(spark, prefix)}
