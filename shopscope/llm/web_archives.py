@@ -26,6 +26,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,16 +56,21 @@ def packed(data: bytes) -> bytes:
 
 
 def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """Start, size and content of each gzip member of a file."""
-    start = 0
+    """Start, size and content of each gzip member of a file.
+
+    A member gets the file in blocks about as large as the member before, as whatever follows it in a block is copied.
+    """
+    view, start, block = memoryview(data), 0, 1 << 12
     while start < len(data):
-        press = zlib.decompressobj(31)
-        content = press.decompress(memoryview(data)[start:])
+        press, parts, at = zlib.decompressobj(31), [], start
+        while not press.eof and at < len(data):
+            parts.append(press.decompress(view[at : at + block]))
+            at = min(at + block, len(data))
         if not press.eof:
             raise ValueError(f"the member at {start} is cut off")
-        end = len(data) - len(press.unused_data)
-        yield start, end - start, content
-        start = end
+        end = at - len(press.unused_data)
+        yield start, end - start, b"".join(parts)
+        start, block = end, max(1 << 9, min(1 << 16, end - start))
 
 
 def base32_sha1(data: bytes) -> str:
@@ -134,14 +140,14 @@ def split_http(data: bytes) -> tuple[bytes, bytes, dict[str, str]]:
 
 
 def write_arcs(pages: DataFrame, folder: str, date: str = "20000101000000") -> DataFrame:
-    """Archives of the pages' HTML as HTTP responses, one path a row, lazily; versions alternate by archive."""
+    """Archives of the pages' HTML as HTTP responses, one path a row, lazily; versions alternate by partition and archive."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, closed = None, []
         for batch in pieces(batches, 4000):
             for page, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
-                    out, version = Output(folder, ".arc.gz"), 1 + len(closed) % 2
+                    out, version = Output(folder, ".arc.gz"), 1 + (TaskContext.get().partitionId() + len(closed)) % 2
                     name = out.uri.rsplit("/", 1)[1]
                     out.write(packed(arc_version_block(name, version, date)))
                 body = (html or "").encode()
@@ -160,9 +166,9 @@ def write_arcs(pages: DataFrame, folder: str, date: str = "20000101000000") -> D
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "archive string")
 
 
-def _spread(archives: DataFrame) -> DataFrame:
-    """A row a file of at most some MB; each is a task's work of its own."""
-    return archives.repartition(int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")), "archive")
+def _spread(rows: DataFrame, *order: str) -> DataFrame:
+    """Evenly dealt in the given order: tasks get as many rows each, of few archives."""
+    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
 
 
 RECORD = "archive string, version int, start long, size long, page_id long, url string, date string, ip string, mime string, payload_bytes long, payload_digest string"
@@ -186,7 +192,7 @@ def scan_arcs(archives: DataFrame) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return _spread(archives).mapInArrow(task, RECORD)
+    return _spread(archives, "archive").mapInArrow(task, RECORD)
 
 
 # ---- WARC --------------------------------------------------------------------------------------------------------
@@ -285,7 +291,7 @@ def write_warcs(records: DataFrame, folder: str) -> DataFrame:
             closed.append(out.uri)
         yield pa.RecordBatch.from_pydict({"archive": closed}, schema=pa.schema([("archive", pa.string())]))
 
-    return _spread(records).sortWithinPartitions("archive", "start").mapInArrow(task, "archive string")
+    return _spread(records, "archive", "start").sortWithinPartitions("archive", "start").mapInArrow(task, "archive string")
 
 
 def warcinfo(name: str, date: str) -> bytes:
@@ -334,7 +340,7 @@ def read_warcs(archives: DataFrame) -> DataFrame:
                         rows = []
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return _spread(archives).mapInArrow(task, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, date string")
+    return _spread(archives, "archive").mapInArrow(task, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_id string, target_uri string, date string")
 
 
 def convert(arcs: DataFrame, workspace: Workspace, revisit_from: int = 0) -> DataFrame:

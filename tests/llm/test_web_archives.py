@@ -2,6 +2,8 @@
 
 import base64
 import hashlib
+import os
+import time
 
 import pytest
 
@@ -72,6 +74,30 @@ def test_arc_versions(spark, tmp_path, workspace, version, press):
     assert rows["http://a/with blank"]["payload_bytes"] == len(http.split(b"\r\n\r\n", 1)[1])
 
 
+def test_members_in_linear_time():
+    def seconds(n):
+        data = b"".join(packed(bytes([k % 251]) * 300 + str(k).encode() * 200) for k in range(n))
+        best = 1e9
+        for _ in range(3):
+            begin = time.process_time()
+            found = list(web_archives.members(data))
+            best = min(best, time.process_time() - begin)
+        assert len(found) == n and b"".join(data[at : at + size] for at, size, _ in found) == data
+        return best
+
+    assert seconds(40_000) < 2.5 * seconds(20_000)
+    odd = [b"", b"x", os.urandom(200_000), b"y" * 500_000, b"", b"z"]
+    assert [content for _, _, content in web_archives.members(b"".join(map(packed, odd)))] == odd
+    with pytest.raises(ValueError, match="cut off"):
+        list(web_archives.members(packed(b"one") + packed(b"two")[:-4]))
+
+
+def test_both_versions_are_written_and_read(spark, workspace):
+    pages = catalog.table(spark, "/root/testdata/sf0.001", "pages").repartition(4)
+    arcs = workspace.store("arcs", web_archives.write_arcs(pages, workspace.location("arc")))
+    assert {row["version"] for row in web_archives.scan_arcs(arcs).select("version").distinct().collect()} == {1, 2}
+
+
 def test_cut_off_record():
     data = arc_version_block("a", 1, "1999") + arc_record(1, "u", "1999", b"abc", "a", 0)[:-3]
     with pytest.raises(ValueError, match="declares"):
