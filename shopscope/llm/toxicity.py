@@ -9,9 +9,11 @@ clause that holds an insult or a threat; a document's evidence is the sum over i
 fitted on the labelled rows turns evidence into a score.
 
 Learning takes a bounded sample of labelled rows: at most ``per_class`` toxic rows and three times as many clean
-ones, in the order of a hash of their keys, and at most ``characters`` of text in all; scoring reads whole texts.
+ones, in the order of a hash of their keys, and of each class at most half of ``characters``. A text that doesn't fit
+is passed over; if none of a class does, the beginning of its shortest one is taken. Scoring reads whole texts.
 
-Defined cases: null and empty texts have no evidence and get the curve's lowest score; rows without label, or whose
+Defined cases: of different texts of one key the one with the smallest hash teaches, and each gets its own score; the
+``held_out`` of a null key is null; null and empty texts have no evidence and get the curve's lowest score; rows without label, or whose
 key is null, teach nothing; of contradicting labels of one key the toxic one counts; without toxic labels every
 score is 0.
 """
@@ -20,13 +22,14 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from shopscope.llm.batches import bounded
@@ -255,21 +258,33 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, characters:
         for label, size in ((1, per_class), (0, 3 * per_class))
     ]
     chosen = F.broadcast(sample[0].union(sample[1]))  # at most 4 * per_class rows of two numbers
-    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), F.length("text").alias("size"))
-    rows = texts.join(chosen, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "size").orderBy(F.xxhash64("doc_id"), "doc_id").collect()
-    kept, used = [], 0
-    for row in rows:
-        used += row["size"] or 0
-        if used > characters:
-            break
-        kept.append((row["doc_id"], row["toxic"]))
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    texts = texts.withColumn("order", F.xxhash64("text")).join(chosen, "doc_id")
+    one = F.min(F.struct("order", F.length("text").alias("size"))).alias("one")  # of a key's texts always the same one
+    rows = texts.groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", "one.*").collect()
+    kept = _within(rows, 1, characters // 2) + _within(rows, 0, characters // 2)
     if not kept:
         return Grammar()
-    ids = F.broadcast(docs.sparkSession.createDataFrame(kept, "doc_id long, toxic int"))
-    learned = texts.join(ids, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").orderBy("doc_id").collect()
+    ids = F.broadcast(docs.sparkSession.createDataFrame(kept, "doc_id long, order long, most int"))
+    cut = F.substring("text", F.lit(1), F.col("most")).alias("text")
+    learned = texts.join(ids, ["doc_id", "order"]).dropDuplicates(["doc_id"]).select("doc_id", cut, "toxic").orderBy("doc_id").collect()
     return fit([r["text"] for r in learned], [r["toxic"] for r in learned], (total[1] or 0) / max(1, total[0]))
 
 
+def _within(rows: list[Row], toxic: int, characters: int) -> list[tuple[int, int, int]]:
+    """Rows of one class that fit together, in the order of a hash; if none does, the beginning of the shortest."""
+    own = sorted((r for r in rows if r["toxic"] == toxic), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"]))
+    kept, used = [], 0
+    for row in own:
+        if used + row["size"] <= characters:
+            used += row["size"]
+            kept.append((row["doc_id"], row["order"], row["size"]))
+    if own and not kept:
+        shortest = min(own, key=lambda r: (r["size"], r["doc_id"]))
+        kept = [(shortest["doc_id"], shortest["order"], characters)]
+    return kept
+
+
 def score(text: Column, grammar: Grammar) -> Column:
     """The score of each text, from 0 to 1."""
     bounded()

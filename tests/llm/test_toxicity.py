@@ -35,6 +35,38 @@ def test_learning_needs_labels(spark):
     assert [r[0] for r in docs.select(toxicity.score(docs["text"], toxicity.learn(docs, none))).collect()] == [0, 0, 0]
 
 
+def _labelled(spark, *more):
+    rows = [(n, f"you are such a vequaire {n} and {n * 7} here", 1) for n in range(40)]
+    rows += [(n, f"the weather is fine {n} and {n * 7} here", 0) for n in range(40, 160)]
+    rows += more
+    docs = spark.createDataFrame([(r[0], r[1], "x") for r in rows], "doc_id long, text string, toxic string")
+    return docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+
+
+def test_texts_over_the_bound_are_passed_over(spark):
+    docs, labels = _labelled(spark, (1000, "long words " * 2000, 1), (1004, "long words " * 2000, 0))
+    grammar = toxicity.learn(docs, labels, characters=12_000)
+    assert grammar.insult("vequaire") > 0 and grammar.slope > 0
+    tiny = toxicity.learn(docs, labels, characters=60)  # no text fits: a piece of one of each class
+    assert tiny.score("anything") <= 1
+
+
+def test_a_key_with_several_texts_teaches_the_same_one(spark):
+    more = [(n, f"entirely {w} words", 1) for n in range(200, 230) for w in ("other", "vequaire", "fine")]
+    docs, labels = _labelled(spark, *more)
+    first, second = (toxicity.learn(docs.repartition(n), labels) for n in (1, 5))
+    assert (first.words, first.stems, first.slope, first.offset) == (second.words, second.stems, second.slope, second.offset)
+
+
+def test_odd_tables(spark):
+    docs, labels = _labelled(spark)
+    grammar = toxicity.learn(docs, labels)
+    assert docs.limit(0).select(toxicity.score(docs["text"], grammar)).count() == 0
+    assert toxicity.learn(docs.limit(0), labels).words == {}
+    text = "a fine day. " * 100_000 + "you vequaire"
+    assert grammar.score(text) == grammar.score("you vequaire") > grammar.score("a fine day")
+
+
 def test_held_out_accuracy(spark):
     directory = "/root/testdata/sf0.1"
     rows = catalog.op2_toxicity(spark, directory).join(catalog.table(spark, directory, "labels"), "doc_id").collect()
