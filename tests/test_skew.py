@@ -31,6 +31,30 @@ def test_median_of_hot_and_null_people(spark, workspace):
     assert found == {key: median(values) for key, values in expected.items()}
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 100_000])
+@pytest.mark.parametrize("groups", [1, 3, 40, 5000])
+def test_medians_across_partitions_and_batches(spark, workspace, chunk, groups):
+    rng = random.Random(groups)
+    rows = [(rng.choice([None, *range(groups)]), Decimal(rng.randrange(-(10**12), 10**12)).scaleb(-10)) for _ in range(9000)]
+    df = spark.createDataFrame(rows, "k int, v decimal(16,10)")
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+        found = {row["k"]: row["median"] for row in median_by_key(df, "k", "v", workspace, "ranks", chunk).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    expected: dict = {}
+    for key, value in rows:
+        expected.setdefault(key, []).append(value)
+    assert found == {key: median(values) for key, values in expected.items()}
+
+
+def test_median_of_nothing(spark, workspace):
+    assert median_by_key(spark.createDataFrame([], "k string, v decimal(16,10)"), "k", "v", workspace, "ranks").count() == 0
+
+
 def test_sums_and_distincts(spark):
     rows = [("a", 1, None, 5), ("a", 1, "x", 5), ("a", 2, "x", None), (None, None, None, 1), ("b", None, "y", 0)]
     df = spark.createDataFrame(rows, "k string, p int, s string, v int")
