@@ -89,7 +89,7 @@ GOLD: dict[str, Query] = {
     "gold_customer_category_behavior": lambda lake: lake.customer_category_behavior,
     "gold_customer_experience": lambda lake: lake.customer_experience,
     "gold_analysis_date": lambda lake: gold.analysis_date(lake.facts),
-    "gold_rfm_scores": lambda lake: gold.rfm_score_table(lake.stored_facts, lake.workspace),
+    "gold_rfm_scores": lambda lake: gold.rfm_score_table(lake.stored_facts),
     "gold_customer_intelligence": lambda lake: lake.customer_intelligence,
     "gold_executive_kpis": lambda lake: lake.executive_kpis,
     "gold_check_keys": _gold_keys,
@@ -112,7 +112,7 @@ REPORTS: dict[str, Query] = {
     "doc_top_customers": lambda lake: reports.top_customers(lake.customer_profile),
     "doc_monthly_trend": lambda lake: reports.monthly_trend(lake.silver["orders"], lake.silver["payments"]),
     "doc_rfm_matrix": lambda lake: reports.rfm_matrix(lake.customer_profile),
-    "doc_pareto_curve": lambda lake: reports.pareto_curve(lake.stored_facts, lake.workspace),
+    "doc_pareto_curve": lambda lake: reports.pareto_curve(lake.stored_facts),
     "doc_segment_migration": lambda lake: reports.segment_migration(lake.silver, lake.workspace),
     "doc_delay_vs_review": lambda lake: reports.delay_vs_review(lake.silver["orders"], lake.silver["reviews"]),
     "doc_late_rate_by_state": lambda lake: reports.late_rate_by_state(lake.silver),

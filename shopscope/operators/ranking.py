@@ -7,10 +7,10 @@ position into the global rank. The id in the key keeps partitions even when one
 
 from __future__ import annotations
 
-from functools import cached_property, reduce
+from functools import cached_property
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopscope.session import shuffle_width
@@ -44,25 +44,6 @@ class Ranked:
         rank = (F.col("position") + F.col("before") + 1).alias("rank")
         return self.rows.join(F.broadcast(offsets), "part").select("value", "id", rank, F.lit(self.total).alias("total"))
 
-    def keys_at(self, ranks: list[int]) -> dict[int, Row]:
-        """The (value, id) at a handful of one-based ranks."""
-        places = {}
-        for rank in ranks:
-            part, before, _ = next(p for p in self.parts if p[1] < rank <= p[1] + p[2])
-            places[part, rank - before - 1] = rank
-        if not places:
-            return {}
-        wanted = [(F.col("part") == part) & (F.col("position") == position) for part, position in places]
-        found = self.rows.filter(reduce(lambda a, b: a | b, wanted)).collect()
-        return {places[row["part"], row["position"]]: row for row in found}
-
-    def tile_ends(self, tiles: int) -> tuple[list[Row], list[Row]]:
-        """The last key of every tile but the final one, with the tiles counted up and counted down."""
-        up = tile_end_ranks(self.total, tiles)[:-1]
-        down = [self.total + 1 - end for end in up]
-        keys = self.keys_at([*up, *down])
-        return [keys[rank] for rank in up], [keys[rank] for rank in down]
-
 
 def tile_end_ranks(total: int, tiles: int) -> list[int]:
     """Ranks at which the tiles end, first tiles one larger while a remainder lasts."""
@@ -99,19 +80,25 @@ def tile_of_rank(rank: Column, total: Column, tiles: int) -> Column:
     )
 
 
-def tile_of_key(df: DataFrame, value: str, id_column: str, ends: list[Row], descending: bool = False) -> Column:
-    """NTILE of a row, by comparing its (value, id) with the last key of each tile."""
+def tile_of_key(df: DataFrame, value: str, id_column: str, ends: list[tuple], descending: bool = False) -> Column:
+    """NTILE of a row, by comparing its (value, id) with the last key of each tile, as a search tree of comparisons."""
     kind = df.schema[value].dataType
     own = (F.col(value), F.col(id_column))
-    tile = F.lit(1)
-    for end in ends:
-        last = (F.lit(end["value"]).cast(kind), F.lit(end["id"]).cast("string"))
-        passed = _after(last, own) if descending else _after(own, last)
-        tile = tile + passed.cast("int")
-    return tile
+
+    def passed(end: tuple) -> Column:
+        last = (F.lit(end[0]).cast(kind), F.lit(end[1]).cast("string"))
+        return key_after(last, own) if descending else key_after(own, last)
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low + 1)
+        middle = (low + high) // 2
+        return F.when(passed(ends[middle]), between(middle + 1, high)).otherwise(between(low, middle))
+
+    return between(0, len(ends))
 
 
-def _after(key: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
+def key_after(key: tuple[Column, Column], other: tuple[Column, Column]) -> Column:
     """``key`` > ``other`` with NULLs after everything else."""
 
     def greater(a: Column, b: Column) -> Column:

@@ -9,19 +9,18 @@ payments and reviews to order grain, orders to account grain, accounts to person
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from shopscope.functions.numeric import MONEY, cents, from_cents, mean, money_percent, percent, ratio
 from shopscope.operators.distinct import sums_and_distincts
 from shopscope.operators.keys import key_counts, surplus
 from shopscope.operators.medians import median_by_key
 from shopscope.operators.nulls import spread_null_key
-from shopscope.operators.ranking import rank_rows, tile_of_key
+from shopscope.operators.ranking import tile_of_key
+from shopscope.operators.selection import tile_ends
 from shopscope.sources.workspace import Workspace
 
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
@@ -389,25 +388,18 @@ def customer_base(facts: DataFrame) -> DataFrame:
     )
 
 
-def rfm_scores(facts: DataFrame, workspace: Workspace) -> DataFrame:
+def rfm_scores(facts: DataFrame) -> DataFrame:
     """Customer base with quintile scores; equal values are ordered by customer id.
 
-    ``facts`` should be a stored table: the measures are sorted once each, and the scores are then
-    comparisons with the few keys that end a quintile.
+    ``facts`` should be a stored table: it is read a few times to find the few keys that end a quintile, and the scores
+    are then comparisons with these.
     """
-    return scored(customer_base(facts), workspace)
+    return scored(customer_base(facts))
 
 
-def scored(base: DataFrame, workspace: Workspace, name: str = "rank") -> DataFrame:
+def scored(base: DataFrame) -> DataFrame:
     """A stored table with a person's recency_days, frequency and monetary_value, with quintile scores."""
-    measures = ("recency_days", "frequency", "monetary_value")
-
-    def ends(measure: str):
-        return rank_rows(base, measure, PERSON, workspace, f"{name}_{measure}").tile_ends(TILES)
-
-    # Three independent sorts: submitted together they share the cluster.
-    with ThreadPoolExecutor(len(measures)) as pool:
-        found = dict(zip(measures, pool.map(inheritable_thread_target(base.sparkSession)(ends), measures)))
+    found = tile_ends(base, ["recency_days", "frequency", "monetary_value"], PERSON, TILES)
 
     def tile(measure: str, descending: bool = False) -> Column:
         return tile_of_key(base, measure, PERSON, found[measure][descending], descending)
@@ -436,8 +428,8 @@ RFM = (
 )
 
 
-def rfm_score_table(facts: DataFrame, workspace: Workspace) -> DataFrame:
-    return rfm_scores(facts, workspace).select(*RFM)
+def rfm_score_table(facts: DataFrame) -> DataFrame:
+    return rfm_scores(facts).select(*RFM)
 
 
 def segment() -> Column:
@@ -478,9 +470,9 @@ INTELLIGENCE = (
 EXPERIENCE = ("average_delivery_days", "late_order_rate", "average_review_score", "poor_experience_flag")
 
 
-def _scored(facts: DataFrame, workspace: Workspace) -> DataFrame:
+def _scored(facts: DataFrame) -> DataFrame:
     scores = [F.col(f"{name}_score") for name in ("recency", "frequency", "monetary")]
-    return rfm_scores(facts, workspace).select(
+    return rfm_scores(facts).select(
         "*",
         (scores[0] + scores[1] + scores[2]).alias("rfm_score"),
         F.concat(*[score.cast("string") for score in scores]).alias("rfm_code"),
@@ -488,8 +480,8 @@ def _scored(facts: DataFrame, workspace: Workspace) -> DataFrame:
     )
 
 
-def customer_intelligence(facts: DataFrame, workspace: Workspace) -> DataFrame:
-    return _scored(facts, workspace).select(*INTELLIGENCE)
+def customer_intelligence(facts: DataFrame) -> DataFrame:
+    return _scored(facts).select(*INTELLIGENCE)
 
 
 def customer_profile(intelligence: DataFrame, experience: DataFrame) -> DataFrame:
@@ -498,14 +490,14 @@ def customer_profile(intelligence: DataFrame, experience: DataFrame) -> DataFram
     return intelligence.join(other, F.col(PERSON) == F.col("_person"), "left").drop("_person")
 
 
-def customer_profile_from_facts(facts: DataFrame, workspace: Workspace) -> DataFrame:
+def customer_profile_from_facts(facts: DataFrame) -> DataFrame:
     """``customer_profile`` without its join: both halves are projections of the same row.
 
     A NULL person matches nothing in that join, so it has no experience here either.
     """
     known = F.col(PERSON).isNotNull()
     experience = [F.when(known, F.col(f"experience.{name}")).alias(name) for name in EXPERIENCE]
-    return _scored(facts, workspace).select(*INTELLIGENCE, *experience)
+    return _scored(facts).select(*INTELLIGENCE, *experience)
 
 
 def executive_kpis(profile: DataFrame) -> DataFrame:

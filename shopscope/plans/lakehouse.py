@@ -68,11 +68,11 @@ class Lakehouse:
 
     @cached_property
     def customer_intelligence(self) -> DataFrame:
-        return gold.customer_intelligence(self.stored_facts, self.workspace)
+        return gold.customer_intelligence(self.stored_facts)
 
     @cached_property
     def customer_profile(self) -> DataFrame:
-        return gold.customer_profile_from_facts(self.stored_facts, self.workspace)
+        return gold.customer_profile_from_facts(self.stored_facts)
 
     @cached_property
     def executive_kpis(self) -> DataFrame:

@@ -43,7 +43,7 @@ def build_gold(tables: Mapping[str, DataFrame], release: Release) -> dict[str, D
         built["customer_experience"] = store(
             "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"], workspace)
         )
-        built["customer_intelligence"] = store("customer_intelligence", gold.customer_intelligence(facts, workspace))
+        built["customer_intelligence"] = store("customer_intelligence", gold.customer_intelligence(facts))
         profile = gold.customer_profile(built["customer_intelligence"], built["customer_experience"])
         built["executive_kpis"] = store("executive_kpis", gold.executive_kpis(profile))
     finally:

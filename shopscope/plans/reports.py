@@ -11,7 +11,8 @@ from shopscope.functions.numeric import MONEY, cents, from_cents, mean, percent,
 from shopscope.operators.keys import beside
 from shopscope.operators.nulls import spread_null_key
 from shopscope.operators.order_stats import column_quantiles, interpolated, signed_bits
-from shopscope.operators.ranking import rank_rows, tile_of_rank
+from shopscope.operators.ranking import tile_of_key
+from shopscope.operators.selection import tile_ends
 from shopscope.plans import gold, views
 from shopscope.plans.gold import PERSON
 from shopscope.sources.workspace import Workspace
@@ -87,12 +88,12 @@ def rfm_matrix(profile: DataFrame) -> DataFrame:
     )
 
 
-def pareto_curve(facts: DataFrame, workspace: Workspace) -> DataFrame:
+def pareto_curve(facts: DataFrame) -> DataFrame:
     """Cumulative revenue share by percentile of customers, biggest spenders first."""
-    ranked = rank_rows(facts, "payment_cents", PERSON, workspace, "rank_spend").with_rank()
-    bucket = tile_of_rank(F.col("total") + 1 - F.col("rank"), F.col("total"), PARETO_BUCKETS)
-    by_bucket = ranked.groupBy(bucket.alias("customer_percentile")).agg(
-        F.count("*").alias("customers"), F.sum("value").alias("cents")
+    _, ends = tile_ends(facts, ["payment_cents"], PERSON, PARETO_BUCKETS)["payment_cents"]
+    bucket = tile_of_key(facts, "payment_cents", PERSON, ends, descending=True).cast("bigint")
+    by_bucket = facts.groupBy(bucket.alias("customer_percentile")).agg(
+        F.count("*").alias("customers"), F.sum("payment_cents").alias("cents")
     )
     # At most PARETO_BUCKETS rows from here on.
     so_far = Window.orderBy("customer_percentile").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -146,7 +147,7 @@ def segment_migration(silver: Mapping[str, DataFrame], workspace: Workspace) ->
             F.col(f"orders_{when}").alias("frequency"),
             from_cents(F.col(f"cents_{when}")).alias("monetary_value"),
         )
-        scored = gold.scored(base, workspace, f"rank_{when}")
+        scored = gold.scored(base)
         return scored.select(PERSON, gold.segment().alias(f"segment_{when}"))
 
     before = segments(measures.filter("rows_then > 0"), "then").select(F.col(PERSON).alias("_person"), F.col("segment_then").alias("segment_before"))

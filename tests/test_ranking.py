@@ -1,6 +1,7 @@
 """Exact ranks and tiles against the window functions they replace."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shopscope.operators.order_stats import column_quantiles, interpolated, quantiles_by_group, signed_bits
 from shopscope.operators.ranking import rank_rows, tile_end_ranks, tile_of_key, tile_of_rank
+from shopscope.operators.selection import Selection, tile_ends
 
 
 def _frame(spark, rows):
@@ -32,7 +34,8 @@ def _cases():
 def test_tiles_match_ntile(case, spark, workspace):
     df = _frame(spark, _cases()[case])
     ranked = rank_rows(df, "v", "id", workspace, "ranks")
-    up, down = ranked.tile_ends(5)
+    up, down = tile_ends(df, ["v"], "id", 5)["v"]
+    assert tile_ends(df, ["v"], "id", 5, fetched=9, sampled=20)["v"] == (up, down)  # in several rounds
     tiled = df.select(
         "*",
         tile_of_key(df, "v", "id", up).alias("up"),
@@ -46,6 +49,24 @@ def test_tiles_match_ntile(case, spark, workspace):
     assert by_rank.count() == len(_cases()[case])
 
 
+def test_keys_at_ranks_of_several_measures(spark):
+    rng = random.Random(2)
+    rows = [(f"c{i}" if i else None, rng.choice([None, 3, 3, 3, i]), Decimal(rng.randrange(50)).scaleb(-2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, a int, b decimal(9,2)")
+    ranks = [1, 2, 700, 1500, 1501, 2999, 3000]
+    found = Selection(df, ["a", "b"], "id", fetched=10, sampled=60).keys_at({"a": ranks, "b": ranks})
+    order = lambda key: (key[0] is None, key[0] or 0, key[1] is None, key[1] or "")
+    for n, measure in enumerate("ab", 1):
+        keys = sorted(((row[n], row[0]) for row in rows), key=order)
+        assert found[measure] == {rank: keys[rank - 1] for rank in ranks}
+
+
+def test_too_many_rows_of_one_key(spark):
+    df = spark.createDataFrame([("same", 1)] * 500, "id string, v int")
+    with pytest.raises(ValueError, match="share one key"):
+        Selection(df, ["v"], "id", fetched=10, sampled=20).keys_at({"v": [250]})
+
+
 def test_more_tiles_than_rows(spark, workspace):
     df = _frame(spark, [(f"c{i}", i % 3) for i in range(20)])
     ranked = rank_rows(df, "v", "id", workspace, "ranks").with_rank()
