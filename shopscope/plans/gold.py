@@ -19,6 +19,7 @@ from shopscope.operators.distinct import sums_and_distincts
 from shopscope.operators.keys import key_counts, surplus
 from shopscope.operators.medians import median_by_key
 from shopscope.operators.nulls import spread_null_key
+from shopscope.operators.hot_keys import hot_keys, left_join
 from shopscope.operators.ranking import tile_of_key
 from shopscope.operators.selection import tile_ends
 from shopscope.sources.workspace import Workspace
@@ -321,8 +322,8 @@ def customer_experience(
 def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     """Spend per person and category, with its rank and shares within the person.
 
-    Items are reduced to (order, product) first. Each join is followed by a new shuffle, so
-    adaptive execution is free to split the partition of a product or order that dominates.
+    Items are reduced to (order, product) first. Products that hold many lines are joined by a broadcast of just
+    their rows; the join on orders is followed by a new shuffle, so adaptive execution is free to split it.
     """
     lines = silver["order_items"].groupBy("order_id", "product_id").agg(
         F.count("*").alias("n"),
@@ -334,7 +335,8 @@ def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     people = silver["customers"].groupBy("customer_id", PERSON).agg(F.count("*").alias("times"))
     buyers = silver["orders"].select("order_id", "customer_id").join(people, "customer_id").drop("customer_id")
     products = silver["products"].select("product_id", F.col("product_category_name_english").alias("category"))
-    bought = lines.join(buyers, "order_id").join(products, "product_id", "left")
+    hot = hot_keys(silver["order_items"], "product_id")
+    bought = left_join(lines.join(buyers, "order_id"), products, "product_id", hot, ["order_id"])
 
     times = F.col("times")
     spend = sums_and_distincts(
