@@ -9,13 +9,13 @@ Where line ends and punctuation divide a notice (wrapped in a comment, or inside
 notice, so windows of words are compared as well. A template's word pairs lie in a text in runs of neighbouring places.
 Leaving out a pair at a window's end that the template lacks never lowers the coefficient, nor does adding one that it
 has, so the best window begins with a run and ends with one, and only these are measured, up to (2 - t) / t times the
-template's length (one run may be longer). A licence that a part matches is reported by its parts alone.
+template's length (one run may be longer). The best of parts and windows is reported.
 
 Texts that can't match are left out by the words they hold: a match shares at least t / (2 - t) of a template's
 bigrams, so it holds at least one of any words that together touch more of the template's bigrams than may be missing.
 
 Defined cases: null and empty texts match nothing; parts of fewer than two words have no bigrams and match nothing;
-parts that repeat within a text count once; rows that repeat a doc_id are reported together; an empty table gives no
+parts that repeat within a text count once; a licence that only windows match has no parts; rows that repeat a doc_id are reported together; an empty table gives no
 rows.
 """
 
@@ -54,6 +54,13 @@ TEMPLATES = {
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     ],
+    "LGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "LGPL-2.1": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
+    "AGPL-3.0": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    "Zlib": ["This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "0BSD": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -138,7 +145,7 @@ def windows(held: DataFrame, templates: dict[str, list[str]], threshold: float)
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, license, the best ``dice`` of its templates, and how many different parts (or else windows) match it."""
+    """doc_id, license, the best ``dice`` of its templates over parts and windows, and how many different parts match it."""
     spark = docs.sparkSession
     known = spark.createDataFrame([(name, text) for name, texts in templates.items() for text in texts], "license string, template string")
     known = known.select("license", words(F.col("template")).alias("own")).select("license", bigrams(F.col("own")).alias("template"))
@@ -152,12 +159,11 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold
     both = measured.join(F.broadcast(known), "n")  # the templates' possible sizes: bounded by the templates
     shared = F.size(F.array_intersect("part", "template"))
     scored = both.select("doc_id", "license", "part", (2 * shared / (F.col("n") + F.size("template"))).alias("dice")).where(F.col("dice") >= threshold)
-    either = scored.withColumn("is_part", F.lit(1)).union(windows(held, templates, threshold).withColumn("is_part", F.lit(0)))
     key = F.xxhash64(F.array_join("part", "|")).alias("part")
-    best = either.groupBy("doc_id", "license", "is_part", key).agg(F.max("dice").alias("dice"))
-    found = best.groupBy("doc_id", "license", "is_part").agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("parts"))
-    first = found.groupBy("doc_id", "license").agg(F.max(F.struct("is_part", "dice", "parts")).alias("found"))
-    return first.select("doc_id", "license", "found.dice", "found.parts")
+    by_parts = scored.select("doc_id", "license", key, "dice")
+    by_windows = windows(held, templates, threshold).select("doc_id", "license", F.lit(None).cast("long").alias("part"), "dice")
+    best = by_parts.union(by_windows).groupBy("doc_id", "license", "part").agg(F.max("dice").alias("dice"))
+    return best.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count("part").alias("parts"))
 
 
 def _sql() -> str:
@@ -171,8 +177,19 @@ p as (select doc_id, unnest(list_distinct(list_concat([text], string_split_regex
         string_split(regexp_replace(text, '([.!?;])\\s+', '\\1' || chr(10), 'g'), chr(10))))) as part from documents where text is not null),
 pb as (select distinct doc_id, {pairs} as b from (select doc_id, {own("part")} as w from p)),
 m as (select doc_id, license, pb.b as part, max(2 * len(list_intersect(pb.b, tb.b)) / (len(pb.b) + len(tb.b))) as dice
-      from pb, tb where len(pb.b) between 2 and 200 and len(list_intersect(pb.b, tb.b)) > 0 group by all having dice >= 0.8)
-select doc_id, license, max(dice) as dice, count(*) as parts from m group by doc_id, license
+      from pb, tb where len(list_intersect(pb.b, tb.b)) > 0 group by all having dice >= 0.8),
+d as (select row_number() over () as r, doc_id, {own("text")} as w from documents where text is not null),
+g as (select r, i as place, w[i] || ' ' || w[i + 1] as pair from d, unnest(range(1, len(w))) as x(i)),
+tp as (select row_number() over () as k, license, b, ceil(len(b) * 2 / 3 - 1e-9) as need, floor(len(b) * 3 / 2 + 1e-9) as lim from tb),
+h as (select r, k, place from g join (select k, unnest(b) as pair from tp) using (pair)),
+e as (select r, k, place, coalesce(lag(place) over v <> place - 1, true) as first, coalesce(lead(place) over v <> place + 1, true) as last
+      from h join (select r, k from h join tp using (k) group by r, k, need having count(*) >= need) using (r, k) window v as (partition by r, k order by place)),
+s as (select a.r, a.k, a.place as low, z.place as high from e a join e z on a.r = z.r and a.k = z.k and a.first and z.last and z.place >= a.place
+      join tp on a.k = tp.k where z.place - a.place < lim or z.place = (select min(y.place) from e y where y.r = a.r and y.k = a.k and y.last and y.place >= a.place)),
+sb as (select doc_id, k, {pairs} as b from (select doc_id, k, w[low:high + 1] as w from s join d using (r))),
+n as (select doc_id, license, max(2 * len(list_intersect(sb.b, tp.b)) / (len(sb.b) + len(tp.b))) as dice from sb join tp using (k) group by all having dice >= 0.8)
+select doc_id, license, max(dice) as dice, count(part) as parts
+from (select doc_id, license, dice, part from m union all select doc_id, license, dice, null from n) group by doc_id, license
 """
 
 

@@ -103,6 +103,26 @@ def test_wrapped_and_embedded_notices(spark):
     assert not any(doc == 900 for doc, _ in got)
 
 
+def test_the_best_of_parts_and_windows(spark, duck):
+    notice = "\n * ".join(textwrap.wrap(licenses.TEMPLATES["MIT"][2].replace("merge, publish", "merge, print"), 70))
+    rows = [
+        (1, f"/*\n * some words\n * {notice}\n * and more\n */" + " other words" * 200),
+        (2, f"Released under the New MIT License.\n{notice}"),  # a paragraph that matches with its first line
+        (2, "Released under the MIT License."),
+    ]
+    docs = spark.createDataFrame(rows[:2], "doc_id long, text string")
+    got = {(r["doc_id"], r["license"]): (r["dice"], r["parts"]) for r in licenses.scan(docs).collect()}
+    assert got[1, "MIT"][0] == got[2, "MIT"][0] == pytest.approx(0.984, abs=0.02)  # the paragraph alone has less
+    assert got[2, "MIT"][1] == 1
+    repeated = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["license"]): (r["dice"], r["parts"]) for r in repeated if r["license"] == "MIT"}[2, "MIT"] == (1.0, 2)
+    own = connect(DIRECTORY)
+    own.execute("drop view documents")
+    own.execute("create table documents(doc_id bigint, text varchar)")
+    own.executemany("insert into documents values (?, ?)", rows[:2])
+    assert difference(licenses.scan(docs), own, licenses.SQL) is None
+
+
 def test_windows_are_the_best_of_all(spark):
     rng = random.Random(4)
     templates = {"A": ["alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"], "B": ["beta gamma nu xi alpha beta omicron pi"]}
