@@ -8,7 +8,7 @@ are equal whole conversations is the beginning of a longer one. Of equal ones th
 
 Rendering gives a row a turn, whose segments in order are the conversation's text, as a conversation may be too long for one value.
 
-Defined cases: turns are ordered by turn (nulls first), then role and a hash of the text; repeated rows are turns of
+Defined cases: turns are ordered by turn (nulls first), then role and a hash of the text (in the SQL: the text); repeated rows are turns of
 their own; null roles and texts count as empty; rows with a null conv_id are one conversation, which is the last to
 stay among equal ones; an empty table gives no rows.
 """
@@ -28,7 +28,7 @@ from shopscope.sources.workspace import Workspace
 MODULI = ((1 << 61) - 1, (1 << 31) - 1)
 BASES = (1_000_003_000_019_000_117, 1_000_003)
 
-ROLLED = "task int, conv_id long, place long, a long, b long, edge boolean"
+ROLLED = "task int, conv_id long, place long, a long, b long, edge boolean, goes_on boolean"
 
 
 def _content(turns: DataFrame) -> DataFrame:
@@ -37,7 +37,10 @@ def _content(turns: DataFrame) -> DataFrame:
 
 
 def roll(turns: DataFrame) -> DataFrame:
-    """Each turn's place and prefix hashes within its task's part of the conversation; edge marks the last turn of a task's first and last conversation."""
+    """Each turn's place and prefix hashes within its task's part of the conversation, and whether another turn follows there.
+
+    ``edge`` marks the last turn of a task's first and last conversation.
+    """
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         number, current, place, hashes, first, pending = TaskContext.get().partitionId(), None, 0, (0, 0), True, None
@@ -50,17 +53,18 @@ def roll(turns: DataFrame) -> DataFrame:
                 if pending is None or own != current:
                     current, place, hashes = own, 0, (0, 0)
                 if pending is not None:
+                    pending[6] = place > 0
                     out.append(pending)
                 place += 1
                 hashes = tuple((x * base + h) % modulus for x, base, modulus in zip(hashes, BASES, MODULI))
-                pending = [number, own, place, *hashes, False]
+                pending = [number, own, place, *hashes, False, False]
             yield _frame(out)
         if pending is not None:
             pending[5] = True
             yield _frame([pending])
 
     def _frame(rows: list) -> pd.DataFrame:
-        frame = pd.DataFrame(rows, columns=["task", "conv_id", "place", "a", "b", "edge"])
+        frame = pd.DataFrame(rows, columns=["task", "conv_id", "place", "a", "b", "edge", "goes_on"])
         return frame.astype({"conv_id": "Int64"})
 
     parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -82,33 +86,40 @@ def carries(edges: list) -> dict[tuple[int, int | None], tuple[int, int, int]]:
     return carry
 
 
+def continued(edges: list) -> set[tuple[int, int | None]]:
+    """Tasks and conversations whose last turn there is followed by one of a later task."""
+    ordered = sorted(edges, key=lambda r: (r["task"], r["conv_id"] is not None, r["conv_id"] or 0))
+    return {(row["task"], row["conv_id"]) for row, after in zip(ordered, ordered[1:]) if row["conv_id"] == after["conv_id"]}
+
+
 def prefixes(turns: DataFrame, workspace: Workspace) -> DataFrame:
-    """conv_id, length and hashes of every turn prefix of every conversation."""
+    """conv_id, length and hashes of every turn prefix of every conversation, and whether the conversation goes on after it."""
     rolled = workspace.store("rolled", roll(turns))
-    carry = carries(rolled.where("edge").collect())  # at most two rows a task
+    edges = rolled.where("edge").collect()  # at most two rows a task
+    carry, more = carries(edges), continued(edges)
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for number, conv, place, a, b in zip(batch["task"], batch["conv_id"].astype("Int64").tolist(), batch["place"], batch["a"], batch["b"]):
+            for number, conv, place, a, b, edge, goes_on in zip(batch["task"], batch["conv_id"].astype("Int64").tolist(), *(batch[c] for c in ("place", "a", "b", "edge", "goes_on"))):
                 own = None if conv is pd.NA else conv
+                goes_on = goes_on or edge and (number, own) in more
                 if (before := carry.get((number, own))) is not None:
                     a, b = ((x * pow(base, int(place), m) + int(y)) % m for x, base, m, y in zip(before[1:], BASES, MODULI, (a, b)))
                     place += before[0]
-                rows.append((own, place, a, b))
-            yield pd.DataFrame(rows, columns=["conv_id", "length", "a", "b"]).astype({"conv_id": "Int64"})
+                rows.append((own, place, a, b, bool(goes_on)))
+            yield pd.DataFrame(rows, columns=["conv_id", "length", "a", "b", "goes_on"]).astype({"conv_id": "Int64"})
 
-    return rolled.select("task", "conv_id", "place", "a", "b").mapInPandas(task, "conv_id long, length long, a long, b long")
+    return rolled.select("task", "conv_id", "place", "a", "b", "edge", "goes_on").mapInPandas(task, "conv_id long, length long, a long, b long, goes_on boolean")
 
 
 def maximal(turns: DataFrame, workspace: Workspace) -> DataFrame:
     """conv_id, length and number of equal conversations of those that stay."""
     every = workspace.store("prefixes", prefixes(turns, workspace))
-    whole = every.groupBy("conv_id").agg(F.max(F.struct("length", "a", "b")).alias("whole")).select("conv_id", "whole.*")
     order = F.struct(F.col("conv_id").isNull().alias("missing"), "conv_id")
-    equal = whole.groupBy("length", "a", "b").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("copies"))
-    met = every.groupBy("length", "a", "b").agg(F.count(F.lit(1)).alias("met"))
-    longest = equal.join(met, ["length", "a", "b"]).where("met = copies")
+    equal = every.where("not goes_on").groupBy("length", "a", "b").agg(F.min(order).alias("kept"), F.count(F.lit(1)).alias("copies"))
+    begun = every.where("goes_on").select("length", "a", "b").distinct()
+    longest = equal.join(begun, ["length", "a", "b"], "left_anti")
     return longest.select(F.col("kept.conv_id").alias("conv_id"), "length", "copies")
 
 
@@ -126,7 +137,7 @@ def rendered(turns: DataFrame, workspace: Workspace | None = None) -> DataFrame:
 
 
 SQL = """
-with c as (select conv_id, list(coalesce(role, '') || chr(10) || coalesce(text, '') order by turn, role, text) as l from conversations group by conv_id),
+with c as (select conv_id, list(coalesce(role, '') || chr(10) || coalesce(text, '') order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as l from conversations group by conv_id),
 k as (select min(conv_id) as conv_id, l from c group by l),
 m as (select conv_id from k where not exists (select 1 from k as o where len(o.l) > len(k.l) and o.l[1:len(k.l)] = k.l))
 select conv_id, turn, role, '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) as segment
