@@ -291,13 +291,27 @@ def classified(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame
     return sketches.select("doc_id", "print").join(named, "print").select("doc_id", "class_id", "class_size")
 
 
-def without_duplicates(docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
-    """The documents with one of each class, in all their columns."""
-    _, named = classes(docs, workspace or Workspace(docs.sparkSession))
-    kept = named.where(F.col("print") == F.col("kept")).select("print", "class_id")
-    name = "_print"
-    while name in docs.columns:
-        name += "_"
-    own = docs.withColumn(name, printed(F.col("text").cast("string")))
-    same = (own[name] == kept["print"]) & own["doc_id"].cast("long").eqNullSafe(kept["class_id"])
-    return own.join(kept, same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+def without_duplicates(docs: DataFrame, workspace: Workspace | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The documents with one of each class, in all their columns.
+
+    What stays is decided by the sketches' ids and prints, without the texts. Only rows of an id that is there more than
+    once are printed again; of those with one text, the one whose columns have the smallest hash stays.
+    """
+    workspace = workspace or Workspace(docs.sparkSession)
+    sketches, named = classes(docs, workspace)
+    judged = sketches.select("doc_id", "print").join(named.select("print", "kept", "class_id"), "print")
+    stays = (F.col("print") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    ids = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.when(stays, F.col("print"))).alias("print"))
+    ids = workspace.store("ids", ids.where("n > 1 or print is null").select(F.col("doc_id").alias("_id"), F.col("print").alias("_kept")))
+    few, repeated = ids.agg(F.count(F.lit(1)), F.count("_kept")).first()  # that go or need a closer look, and of these those of which a row stays
+    hinted = lambda df: F.broadcast(df) if few <= broadcast_rows else df
+    own = docs["doc_id"].cast("long").eqNullSafe(ids["_id"])
+    single = docs.join(hinted(ids.select("_id")), own, "left_anti")
+    if not repeated:
+        return single
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    again = docs.select(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("order"))
+    again = again.join(hinted(ids.where("_kept is not null")), F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")))
+    again = again.where(printed(F.col("row.text").cast("string")) == F.col("_kept"))
+    chosen = again.groupBy("_id").agg(F.min_by("row", "order").alias("row"))
+    return single.unionByName(chosen.select("row.*"))

@@ -95,6 +95,23 @@ def test_classes_against_all_pairs(spark):
     assert got == sorted({c for _, c, _ in wanted if c is not None}, key=str)
 
 
+@pytest.mark.parametrize("broadcast_rows", [10**6, 0])
+def test_one_of_each_class_stays(spark, monkeypatch, broadcast_rows):
+    """Repeated ids with equal and different texts, null ids, and the path of joins by shuffle."""
+    monkeypatch.setattr(weighted_dedup, "BROADCAST_ROWS", broadcast_rows)
+    rows = [(i, t, f"p{n}", "c") for n, (i, t) in enumerate(corpus())]
+    rows += [(rows[0][0], rows[0][1], "again", "d"), (rows[1][0], "another text of one id", "x", "y"), (None, "lone text without id", None, None), (None, "lone text without id", None, "z")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    kept = weighted_dedup.without_duplicates(df.repartition(3), broadcast_rows=broadcast_rows)
+    assert kept.columns == df.columns
+    found = [tuple(r) for r in kept.collect()]
+    again = [tuple(r) for r in weighted_dedup.without_duplicates(df.repartition(7), broadcast_rows=broadcast_rows).collect()]
+    assert sorted(found, key=str) == sorted(again, key=str) and set(found) <= set(rows)
+    sketches, named = weighted_dedup.classes(df, catalog.Workspace(spark))
+    of_text = {(r["doc_id"], r["print"]): (r["class_id"], r["kept"]) for r in sketches.join(named, "print").collect()}
+    assert len(found) == len({(r[0], r[1]) for r in found}) == len(set(of_text.values()))
+
+
 def test_many_blocks(spark, monkeypatch):
     """Buckets split into blocks of few members each."""
     monkeypatch.setattr(weighted_dedup, "BLOCK_MEMBERS", 3)
