@@ -2,9 +2,9 @@
 
 A rolling hash of each turn prefix is computed over all turns, range-sorted by conversation and turn. Each task rolls
 through its rows; a conversation that goes on in the next task is joined up by the polynomial form of the hash, from
-one summary row a task edge. So a conversation of any length is spread over tasks, and none is ever gathered. Counting
-prefixes by (length, hash) then tells what is maximal: a whole conversation whose prefix is met more often than there
-are equal whole conversations is the beginning of a longer one. Of equal ones the smallest conv_id stays.
+one summary row a task edge. So a conversation of any length is spread over tasks, and none is ever gathered. The
+same pass tells which prefixes go on. Whole conversations are then anti-joined with the prefixes, by length and hashes,
+that go on in some conversation, so those that begin a longer one go. Of equal ones the smallest conv_id stays.
 
 Rendering gives a row a turn, whose segments in order are the conversation's text, as a conversation may be too long for one value.
 
