@@ -120,6 +120,18 @@ def write_queries(queries: DataFrame, folder: str) -> DataFrame:
     return queries.mapInArrow(task, "dims int, path string")
 
 
+def distances(gap: np.ndarray) -> np.ndarray:
+    """Lengths of rows; where squares leave the range of doubles, of the rows scaled by their largest component."""
+    with np.errstate(over="ignore", under="ignore"):
+        plain = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+    largest = np.abs(gap).max(1, initial=0)
+    odd = ~np.isfinite(plain) | (largest > 0) & (largest < 1e-150)
+    if odd.any():
+        scaled = gap[odd] / largest[odd, None]
+        plain[odd] = largest[odd] * np.sqrt(np.einsum("ij,ij->i", scaled, scaled))
+    return plain
+
+
 class Block:
     """An index block held against queries."""
 
@@ -144,14 +156,14 @@ class Block:
         if len(self.ids) > k:
             upper = np.where(own, np.inf, middle + slack)
             limit = np.partition(upper, k - 1, axis=0)[k - 1]
-            rows, columns = np.nonzero((middle - slack <= limit) & ~own)
+            rows, columns = np.nonzero(~(middle - slack > limit) & ~own)  # bounds that overflow rule nothing out
         else:
             rows, columns = np.nonzero(~own)
         exact = np.empty(len(rows))
         for at in range(0, len(rows), 1 << 15):
             part = slice(at, at + (1 << 15))
             gap = self.vectors[rows[part]] - queries[columns[part]]
-            exact[part] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
+            exact[part] = distances(gap)
         order = np.lexsort((self.ids[rows], exact, columns))
         rows, columns, exact = rows[order], columns[order], exact[order]
         starts = np.searchsorted(columns, np.arange(len(ids)))

@@ -69,3 +69,15 @@ def test_bounds_choose_few_vectors():
     exact[np.arange(40), np.arange(0, 4000, 100)] = np.inf
     wanted = np.argsort(exact, axis=1)[:, :10]
     assert (ids.reshape(40, 10) == wanted).mean() > 0.99
+
+
+def test_vectors_near_the_limits_of_doubles(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, (v * scale).tolist()) for scale, first in ((1e160, 1), (1e300, 2000), (1e-170, 4000)) for i, v in enumerate(rng.standard_normal((120, 3)), first)]
+    rows += [(100 * n, (rng.standard_normal(3) * scale).tolist()) for n, scale in ((50, 1e160), (51, 1e300), (52, 1e-170))]
+    df = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], SCHEMA.replace("float", "double"))
+    got = result(catalog.neighbours(df))
+    for q in (5000, 5100, 5200):
+        x = np.array(dict(rows)[q])
+        near = sorted((math.hypot(*(x - np.array(v))), i) for i, v in rows if i != q)[:10]
+        assert len(got[q]) == 10 and [s for s, _ in got[q]] == pytest.approx([s for s, _ in near], rel=1e-9)
