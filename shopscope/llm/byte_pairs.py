@@ -2,8 +2,8 @@
 
 The rank file (base64 token and rank a line) goes to every task by its path, which must exist on each
 executor, as with any installed package. Each task builds the encoder once. Long texts are cut where
-the split pattern must start a new match, so that no call gets a text of unlimited length and the ids
-are those of the whole text.
+the split pattern must start a new match (a single blank between letters or digits), and the ids are those of the whole
+text; a stretch without such a place, as of Chinese or base64, goes to the library in one call.
 
 Defined cases: a null text counts as empty and gives no ids; special tokens are ordinary text; decoding
 gives raw bytes, as ids may end within a character; null ids decode to null; an id outside the ranks raises.

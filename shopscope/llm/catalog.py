@@ -19,12 +19,14 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def op1_byte_pairs(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, in no order."""
     docs = table(spark, directory, "documents")
     found = byte_pairs.digest(docs["text"], public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")
 
 
 def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of every document, in no order."""
     docs = table(spark, directory, "documents")
     grammar = toxicity.learn(docs, table(spark, directory, "labels"))
     scored = docs.select("doc_id", toxicity.held_out(docs["doc_id"]).alias("held_out"), toxicity.score(docs["text"], grammar).alias("score"))
@@ -32,28 +34,34 @@ def op2_toxicity(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op3_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, class_id, class_size of every document, in no order."""
     return weighted_dedup.classified(table(spark, directory, "documents"))
 
 
 def op4_licenses(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, license, dice, parts: a row a licence of a document, in no order."""
     return licenses.scan(table(spark, directory, "documents"))
 
 
 def op5_web_archives(spark: SparkSession, directory: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, record_id, target_uri, date of every page, in no order."""
     records = web_archives.round_trip(spark, table(spark, directory, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "record_id", "target_uri", "date")
 
 
 def op6_conversations(spark: SparkSession, directory: str) -> DataFrame:
+    """conv_id, turn, role, segment: a row a turn of the conversations that stay, in no order."""
     return conversations.rendered(table(spark, directory, "conversations"))
 
 
 def op7_decontamination(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, item_id, shared, item_shingles, containment: a row a benchmark item in a document, in no order."""
     docs, benchmark = table(spark, directory, "documents"), table(spark, directory, "benchmark")
     return decontamination.find(docs, benchmark, Workspace(spark)).drop("body")
 
 
 def op8_token_files(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document; by file in the order of doc_id."""
     docs = table(spark, directory, "documents")
     records = token_files.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
     return records.select(records["key"].alias("doc_id"), "start", "n_tokens", "ids_crc32")
@@ -67,10 +75,12 @@ def neighbours(embeddings: DataFrame) -> DataFrame:
 
 
 def op9_nearest(spark: SparkSession, directory: str) -> DataFrame:
+    """query_id, rank, vec_id, score: up to ten rows a query, in no order."""
     return neighbours(table(spark, directory, "embeddings"))
 
 
 def op10_personal_data(spark: SparkSession, directory: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every document, in no order."""
     docs = table(spark, directory, "documents")
     found = personal_data.spans(docs["text"], personal_data.learn(docs))
     return docs.select("doc_id", found.alias("found")).select("doc_id", "found.*")

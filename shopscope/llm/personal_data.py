@@ -109,7 +109,7 @@ def base_spans(text: str | None, strict: bool = True) -> list[Span]:
 
 
 def _symbol_table() -> np.ndarray:
-    table = np.full(0x250, 4, np.int64)
+    table = np.full(0x250, 4, np.uint8)
     for code in range(0x250):
         c = chr(code)
         if c in SIGNS:
@@ -154,10 +154,16 @@ def window_starts(text: str) -> list[int]:
 
 
 def cut_windows(text: str, starts: Iterable[int]) -> np.ndarray:
-    """The symbols of each window; places outside the text count as line feeds. Windows may start at -GRID."""
-    padded = np.full(len(text) + 3 * WINDOW, 5 + SIGNS.index("\n"), np.int64)
-    padded[WINDOW : WINDOW + len(text)] = symbols(text)
-    return np.stack([padded[s + WINDOW : s + 2 * WINDOW] for s in starts])
+    """The symbols of each window; places outside the text count as line feeds. Starts ascend, and may begin at -GRID.
+
+    Only the stretch that the windows cover is coded, so that a long text's runs of windows take linear time.
+    """
+    starts = list(starts)
+    low = max(0, starts[0])
+    covered = symbols(text[low : max(low, starts[-1] + WINDOW)])
+    padded = np.full(starts[-1] - low + 3 * WINDOW, 5 + SIGNS.index("\n"), TABLE.dtype)
+    padded[WINDOW : WINDOW + len(covered)] = covered
+    return np.stack([padded[s - low + WINDOW : s - low + 2 * WINDOW] for s in starts])
 
 
 def join(starts: list[int], labels: np.ndarray) -> list[Span]:

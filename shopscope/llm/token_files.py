@@ -12,7 +12,7 @@ Documents are range-partitioned by key and text and written in that order; each
 every document follows. Attempts write under names of their own; the manifest lists those of successful ones.
 
 Defined cases: a null text counts as empty (its record holds the end id alone); null keys come first; rows that
-repeat a key stay, in the order of their texts; an empty table gives no files and no rows; keys are integers.
+repeat a key stay, next to each other in no set order; an empty table gives no files and no rows; keys are integers.
 """
 
 from __future__ import annotations

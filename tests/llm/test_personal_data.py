@@ -1,6 +1,7 @@
 """Base spans against the plain patterns, the tagger's gradients and held-out spans, windows joined across borders."""
 
 import re
+import time
 
 import numpy as np
 import pytest
@@ -169,3 +170,25 @@ def test_long_texts_are_learned_from(spark):
     long = " ".join(f"wo wort{n} wer" for n in range(800)) + " mail ann.ott@mail.example.com of " + "und so " * 2000
     docs = spark.createDataFrame([(1, long)], "doc_id long, text string")
     assert len(long) > 6000 and personal_data.learn(docs).tagger is not None
+
+
+def test_windows_of_long_texts_in_linear_time():
+    """Runs of windows are coded from their own stretch, and are those of the whole text."""
+
+    def seconds(n):
+        text = ("word " * 400 + "call 555 0123456 now. ") * n
+        begin = time.process_time()
+        starts = personal_data.window_starts(text)
+        for at in range(0, len(starts), 256):
+            personal_data.cut_windows(text, starts[at : at + 256])
+        return time.process_time() - begin
+
+    assert min(seconds(2000) for _ in range(3)) < 3 * min(seconds(1000) for _ in range(3))
+    text = "0 at the start, é and 東 " * 40 + "x" * 300 + " and 1 at the end 2"
+    starts = personal_data.window_starts(text)
+    table, size = personal_data.symbols(text), personal_data.WINDOW
+    feed = personal_data.symbols("\n")[0]
+    expected = [[table[p] if 0 <= p < len(text) else feed for p in range(s, s + size)] for s in starts]
+    assert starts[0] < 0 and personal_data.cut_windows(text, starts).tolist() == expected
+    for start, row in zip(starts, expected):
+        assert personal_data.cut_windows(text, [start]).tolist() == [row]

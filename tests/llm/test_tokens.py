@@ -100,7 +100,9 @@ def test_queries_over_the_whole_table(spark):
     docs = {row["doc_id"]: row["text"] or "" for row in catalog.table(spark, directory, "documents").collect()}
     encoding, tokenizer = byte_pairs.encoder(RANKS, PATTERN), whole()
     rows = catalog.op1_byte_pairs(spark, directory).collect()
-    assert {row["doc_id"]: row["n_tokens"] for row in rows} == {k: len(encoding.encode_ordinary(t)) for k, t in docs.items()}
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+    expected = {k: (len(ids := encoding.encode_ordinary(t)), digest(" ".join(map(str, ids)).encode()), digest(t.encode())) for k, t in docs.items()}
+    assert {row["doc_id"]: (row["n_tokens"], row["ids_sha256"], row["decoded_sha256"]) for row in rows} == expected
     at = 0
     for row in sorted(catalog.op8_token_files(spark, directory).collect(), key=lambda row: row["doc_id"]):
         ids = [*tokenizer.encode(docs[row["doc_id"]], add_special_tokens=False).ids, 0]
