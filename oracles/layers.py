@@ -154,10 +154,11 @@ from g_people p, g_day"""
 
 LAYERS["g_segments"] = """
 select s.*, case
-    when frequency > 1 then case when m > 3 then 'High-Value Repeat' else 'Developing Repeat' end
-    when frequency = 1 and m > 3 then 'High-Value One-Time'
-    when frequency = 1 and rq > 3 then 'Recent One-Time'
-    when frequency = 1 and m < 3 and rq < 3 then 'Low-Value Inactive'
+    when frequency >= 2 and m >= 4 then 'High-Value Repeat'
+    when frequency >= 2 then 'Developing Repeat'
+    when frequency = 1 and m >= 4 then 'High-Value One-Time'
+    when frequency = 1 and rq >= 4 then 'Recent One-Time'
+    when frequency = 1 and m <= 2 and rq <= 2 then 'Low-Value Inactive'
     else 'Established One-Time' end as segment
 from g_scores s"""
 
