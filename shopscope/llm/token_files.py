@@ -36,14 +36,18 @@ from shopscope.sources.workspace import Workspace
 
 #: A file is closed once it has this many bytes.
 FILE_BYTES = 32 << 20
-#: Distinct units whose ids a task remembers; beyond it, it forgets all of them.
-REMEMBERED = 900_000
+#: Texts of about so many bytes are encoded together; more of them hold fewer distinct units each.
+BATCH_BYTES = 16 << 20
+#: Units of about so many bytes are handed to the tokenizer at once. Its results take far more memory than the ids.
+AT_ONCE = 16 << 10
 INDEX_ENTRY = struct.Struct("<q?QQ")
 SPACE = r"\pZ\t-\r\x{85}"
 #: A blank that has white space on its left, and white space or nothing on its right: cutting before it would change the ids.
 UNSAFE = f"[{SPACE}] ([{SPACE}]|\\z)"
-#: Plain punctuation after a word of Latin letters is a match of its own.
-MARKS, LATIN_END = ",.;:!?", "\u0250"
+#: A unit that still has a match start at its blank if other such units stand before and after it.
+JOINABLE = f"\\A[^{SPACE}](.*[^{SPACE}])?\\z"
+#: Punctuation after a word of Latin letters is a match of its own; with an apostrophe it need not be.
+MARKS, LATIN = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}"
 
 
 def masked(data: bytes) -> int:
@@ -57,13 +61,16 @@ def regex_quoted(text: str) -> str:
 
 
 class Encoder:
-    """Whole texts to ids by a byte-level tokenizer file, remembering the ids of units between blanks.
+    """Whole texts to ids by a byte-level tokenizer file, each distinct unit between blanks once a batch.
 
     The tokenizer's pattern starts a new match before every blank that follows something other than white space,
-    or that ends a run of white space before a word. Texts are cut there in one vectorised pass and each distinct
-    unit is encoded once. A text with a blank for which this doesn't hold (UNSAFE) is encoded as a whole. With
-    ``added``, the strings of added tokens in a text are these tokens, as in the library's default, and texts that
-    hold one are encoded as a whole too; else they are ordinary text.
+    or that ends a run of white space before a word. Texts are cut there in one vectorised pass, words are parted
+    from the punctuation after them, and what is distinct is joined by blanks again and encoded: where an id's
+    token begins with a blank, the next unit begins. A text with a blank for which this doesn't hold (UNSAFE) is
+    encoded as a whole. With ``added``, the strings of added tokens in a text are these tokens, as in the library's
+    default, and texts that hold one are encoded as a whole too; else they are ordinary text.
+
+    Nothing is kept from batch to batch, so memory follows the batch and not the words a worker has met.
     """
 
     def __init__(self, path: str, added: bool = False):
@@ -74,78 +81,85 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not added
         strings = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = "|".join(map(regex_quoted, strings)) if added else ""
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.pool, self.filled = np.zeros(1 << 14, self.dtype), 0
+        self.joins = not any(" " in string for string in strings)
+        vocabulary = self.tokenizer.get_vocab()
+        size = max(vocabulary.values()) + 1
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.blank_first = np.zeros(size, bool)
+        self.blank_first[[number for token, number in vocabulary.items() if token.startswith("\u0120")]] = True
+
+    def _binary(self, ids: list[np.ndarray], lengths: np.ndarray) -> pa.Array:
+        """The bytes of so many ids each."""
+        offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]) * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.concatenate([*ids, np.zeros(0, self.dtype)]))])
 
     @staticmethod
-    def _room(array: np.ndarray, size: int) -> np.ndarray:
-        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, len(array)), array.dtype)])
-
-    def _add(self, units: list[str]) -> None:
-        encoding = self.tokenizer.encode(units, is_pretokenized=True, add_special_tokens=False)
-        ids, owners = np.array(encoding.ids, self.dtype), np.array(encoding.word_ids, np.int64)
-        lengths = np.bincount(owners, minlength=len(units)) if len(owners) else np.zeros(len(units), np.int64)
-        first = len(self.known)
-        self.starts, self.lengths = self._room(self.starts, first + len(units)), self._room(self.lengths, first + len(units))
-        self.starts[first : first + len(units)] = self.filled + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(units)] = lengths
-        self.pool = self._room(self.pool, self.filled + len(ids))
-        self.pool[self.filled : self.filled + len(ids)] = ids
-        self.filled += len(ids)
-        self.known.update(zip(units, range(first, first + len(units))))
-
-    def _numbers(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The known numbers of each unit's one or two parts, the second -1 if there is none."""
-        known, heads, tails = self.known, list(units), {}
-        for at, unit in enumerate(units):
-            if unit[-1:] in MARKS and unit not in known:
-                head = unit.rstrip(MARKS)
-                if head.lstrip(" ").isalpha() and head.count(" ") <= 1 and max(head) < LATIN_END:
-                    heads[at], tails[at] = head, unit[len(head) :]
-        new = {part for part in heads if part not in known}
-        new.update(part for part in tails.values() if part not in known)
-        if new:
-            self._add(sorted(new))
-        second = np.full(len(units), -1, np.int64)
-        second[list(tails)] = [known[part] for part in tails.values()]
-        return np.array([known[part] for part in heads], np.int64), second
+    def _bounds(units: pa.Array) -> np.ndarray:
+        """Where to cut the units into lots of about AT_ONCE bytes."""
+        ends = np.cumsum(pc.binary_length(units).to_numpy() + 1)
+        return np.unique([0, *np.flatnonzero(np.diff(ends // AT_ONCE)) + 1, len(units)]).astype(np.int32)
+
+    def _apart(self, units: pa.Array, before: str = "") -> pa.Array:
+        """The ids of each unit with ``before`` in front, as bytes."""
+        found, lengths, bounds = [], np.zeros(len(units), np.int64), self._bounds(units)
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            encoding = self.tokenizer.encode([before + unit for unit in units[a:b].to_pylist()], is_pretokenized=True, add_special_tokens=False)
+            found.append(np.array(encoding.ids, self.dtype))
+            lengths[a:b] = np.bincount(np.array(encoding.word_ids, np.int64), minlength=b - a)
+        return self._binary(found, lengths)
+
+    def _joined(self, units: pa.Array) -> pa.Array:
+        """The ids of each unit with a blank in front, as bytes; all are joinable."""
+        lots = pa.ListArray.from_arrays(pa.array(self._bounds(units)), units)
+        texts = pc.binary_join(lots, pa.scalar(" ", units.type)).to_pylist()
+        found = [np.array(self._whole(f" {text}"), self.dtype) for text in texts]
+        ids = np.concatenate([*found, np.zeros(0, self.dtype)])
+        starts = np.flatnonzero(self.blank_first[ids])
+        if len(starts) != len(units) or len(units) and starts[0]:
+            raise ValueError(f"{len(units)} units gave {len(starts)} tokens that begin with a blank")
+        return self._binary([ids], np.diff(starts, append=len(ids)))
+
+    def _whole(self, text: str) -> list[int]:
+        """The ids of a text, without what else the library tells of them."""
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _blanked(self, units: pa.Array) -> pa.Array:
+        """The ids of each distinct unit with a blank in front, as bytes."""
+        joinable = pc.match_substring_regex(units, f"(?s){JOINABLE}") if self.joins else pa.array(np.zeros(len(units), bool))
+        order = np.argsort(~joinable.to_numpy(zero_copy_only=False), kind="stable")
+        found = pa.concat_arrays([self._joined(units.filter(joinable)), self._apart(units.filter(pc.invert(joinable)), " ")])
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return found.take(pa.array(back))
+
+    def _coded(self, units: pa.Array) -> pa.Array:
+        """The same, by words and the punctuation after them."""
+        words = pc.utf8_rtrim(units, MARKS)
+        cut = pc.and_(pc.not_equal(pc.binary_length(words), pc.binary_length(units)), pc.match_substring_regex(words, f"\\A[{LATIN}]+\\z"))
+        heads = pc.if_else(cut, words, units).dictionary_encode()
+        marks = pc.if_else(cut, pc.replace_substring_regex(units, f"\\A[{LATIN}]+", ""), "").dictionary_encode()
+        tails = self._apart(marks.dictionary).take(marks.indices)
+        return pc.binary_join_element_wise(self._blanked(heads.dictionary).take(heads.indices), tails, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null counts as empty."""
-        if len(self.known) > REMEMBERED:
-            self._forget()
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         whole = pc.match_substring_regex(texts, f"{UNSAFE}|{self.added}" if self.added else UNSAFE).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
-        values, offsets = lists.values, lists.offsets.to_numpy()
-        offsets = offsets.astype(np.int64)
+        offsets = lists.offsets.to_numpy()
+        table = lists.values.dictionary_encode()
         # every unit but the first of a text has a blank in front
-        spaced = np.ones(len(values), bool)
-        spaced[offsets[:-1]] = False
-        table = values.dictionary_encode()
-        codes = table.indices.to_numpy().astype(np.int64)
-        distinct = table.dictionary.to_pylist()
-        head, tail = self._numbers([f" {unit}" for unit in distinct])
-        firsts = [distinct[code] for code in codes[offsets[:-1]]]
-        first_head, first_tail = self._numbers(firsts)
-        both = np.empty((len(codes), 2), np.int64)
-        both[:, 0], both[:, 1] = head[codes], tail[codes]
-        both[offsets[:-1], 0], both[offsets[:-1], 1] = first_head, first_tail
-        flat = both.ravel()
-        kept = flat >= 0
-        lengths = np.where(kept, self.lengths[flat], 0)
-        ends = np.cumsum(lengths)
-        jump = np.repeat(np.where(kept, self.starts[flat], 0) - (ends - lengths), lengths)
-        ids = self.pool[jump + np.arange(len(jump))]
-        bounds = np.concatenate([[0], ends])[2 * offsets]
+        firsts = lists.values.take(pa.array(offsets[:-1])).dictionary_encode()
+        known = pa.concat_arrays([self._coded(table.dictionary), self._apart(firsts.dictionary)])
+        codes = table.indices.to_numpy().copy()
+        codes[offsets[:-1]] = len(table.dictionary) + firsts.indices.to_numpy()
+        taken = known.take(pa.array(codes))
+        _, ends, data = taken.buffers()
+        ids = np.frombuffer(data or b"", self.dtype)
+        bounds = np.frombuffer(ends, np.int64)[offsets] // self.dtype.itemsize
         found = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
         for at in np.flatnonzero(whole):
-            found[at] = np.array(self.tokenizer.encode(texts[int(at)].as_py(), add_special_tokens=False).ids, self.dtype)
+            found[at] = np.array(self._whole(texts[int(at)].as_py()), self.dtype)
         return found
 
 
@@ -189,7 +203,7 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int, key: s
         encoder, partition = _encoder(tokenizer_file, added), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         shard, closed = None, []
-        for batch in pieces(gathered(batches, 8 << 20), 4000, 1):
+        for batch in pieces(gathered(batches, BATCH_BYTES), 16_000, 1, BATCH_BYTES):
             for own, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                 shard = shard or _Shard(folder)
                 shard.add(own, ids.tobytes() + end, len(ids) + 1)

@@ -1,6 +1,10 @@
 """Token ids against the libraries on whole texts, and exact round trips."""
 
 import hashlib
+import pathlib
+import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -131,3 +135,34 @@ def test_query_reads_added_tokens(spark, tmp_path):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
         assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         at += len(ids)
+
+
+GROWTH = """
+import resource, pyarrow as pa
+from shopscope.llm import token_files
+def words(first, count):
+    letters = lambda n: "".join(chr(97 + n // 26**k % 26) for k in range(5))
+    return [" ".join(letters(n * 7919) + letters(n) for n in range(at, at + 100)) for at in range(first, first + count, 100)]
+encoder, most = token_files.Encoder({file!r}, True), lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+encoder.encode(pa.array(words(0, 1000)))
+before = most()
+for lot in range(4):
+    encoder.encode(pa.array(words(1000 + lot * 100_000, 100_000)))
+print((most() - before) // 1024)
+"""
+
+
+def test_memory_does_not_grow_with_the_words_met():
+    """400,000 distinct words in four batches of 1 MB; results are dropped after each."""
+    root = str(pathlib.Path(token_files.__file__).parents[2])
+    ran = subprocess.run([sys.executable, "-c", GROWTH.format(file=FILE)], cwd=root, capture_output=True, text=True, check=True)
+    assert int(ran.stdout) < 100, f"{ran.stdout.strip()} MB"
+
+
+def test_joined_units_give_the_ids_of_whole_texts():
+    encoder, tokenizer, draw = token_files._encoder(FILE, True), Tokenizer.from_file(FILE), random.Random(5)
+    letters = "ab'st é×ªɐ\n\t\x85　 .,-_#$%&()*+/<=>@[]^`{|}~\\\"19"
+    texts = ["".join(draw.choice(letters) + draw.choice(["", "", " "]) for _ in range(draw.randrange(40))) for _ in range(5000)]
+    texts += ["", "z" * 40_000, " ".join(["z" * 9000, "y" * 20_000, "x"])]
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode(pa.array([], pa.string())) == []
