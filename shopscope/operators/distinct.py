@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -34,3 +34,18 @@ def sums_and_distincts(
         *[F.sum(within(counted[0], f"_{name}")).alias(name) for name in sums],
         *[F.max(within(counted[0], f"_{name}")).alias(name) for name in maxima],
     )
+
+
+def sums_and_distincts_in_place(df: DataFrame, keys: list[str], distinct: dict[str, str], sums: dict[str, Column]) -> DataFrame:
+    """The same without maxima, for rows that are already dealt by some of ``keys``: none is copied or shuffled.
+
+    The first row of each value is marked after a sort within the partition.
+    """
+    rows = df.select(*keys, *distinct.values(), *[column.alias(f"_{name}") for name, column in sums.items()])
+    for alias, column in distinct.items():
+        alike = Window.partitionBy(*keys, column).orderBy(column)
+        rows = rows.withColumn(f"_{alias}", (F.row_number().over(alike) == 1) & F.col(column).isNotNull())
+    return rows.groupBy(*keys).agg(
+        *[F.count_if(f"_{alias}").alias(alias) for alias in distinct],
+        *[F.sum(f"_{name}").alias(name) for name in sums],
+    )

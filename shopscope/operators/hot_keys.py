@@ -15,29 +15,34 @@ from pyspark.sql import functions as F
 SHARE, TRACKED = 200, 8192
 
 
-def hot_keys(rows: DataFrame, key: str, share: int = SHARE) -> list:
-    """At most ``share`` keys: all that hold more than 1 / ``share`` of the rows, up to the sketch's error. Reads the key column once."""
-    known = rows.where(F.col(key).isNotNull())
-    found = known.agg(F.expr(f"approx_top_k({key}, {share}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] * share > found["n"]]
+def hot_keys(rows: DataFrame, key: str, share: int = SHARE, nulls: bool = False) -> list:
+    """At most ``share`` keys: all that hold more than 1 / ``share`` of the rows, up to the sketch's error. Reads the key column once.
+
+    With ``nulls``, None is one more where NULL keys hold as many.
+    """
+    top = F.expr(f"approx_top_k({key}, {share}, {TRACKED}) filter (where {key} is not null)")
+    found = rows.agg(top.alias("top"), F.count(key).alias("n"), F.count_if(F.col(key).isNull()).alias("nobody")).first()
+    hot = [entry["item"] for entry in found["top"] or [] if entry["count"] * share > found["n"]]
+    return [*hot, None] if nulls and found["nobody"] * share > found["n"] + found["nobody"] else hot
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, hot: list, unlike: list[str]) -> DataFrame:
     """``left`` with the columns of ``right``, a dimension with its text key (nearly) unique; NULL where nothing matches.
 
     ``hot`` is what ``hot_keys`` found; ``unlike`` names columns of the left side that tell rows of one key apart. NULL keys
-    match nothing and are dealt evenly too.
+    match nothing and are dealt evenly too. What rows are dealt by is computed on both sides of the shuffle, as a column
+    of its own would be shuffled beside the key.
     """
     names = [c for c in right.columns if c != key]
     filler = F.concat(F.lit("\0"), F.xxhash64(*unlike).cast("string"))
     others = right.select(F.col(key).alias("_other"), F.struct(*names).alias("_many"))
     if not hot:
-        joined = left.withColumn("_own", F.coalesce(F.col(key), filler)).join(others, F.col("_own") == F.col("_other"), "left")
+        joined = left.join(others, F.coalesce(F.col(key), filler) == F.col("_other"), "left")
         return joined.select(*left.columns, *[F.col("_many")[name].alias(name) for name in names])
     few = right.where(F.col(key).isin(hot)).select(F.col(key).alias("_hot"), F.struct(*names).alias("_few"))
     marked = left.join(F.broadcast(few), F.col(key) == F.col("_hot"), "left")
     own = F.when(F.col("_hot").isNotNull(), filler).otherwise(F.coalesce(F.col(key), filler))
     rest = others.where(~F.col("_other").isin(hot))
-    joined = marked.withColumn("_own", own).join(rest, F.col("_own") == F.col("_other"), "left")
+    joined = marked.join(rest, own == F.col("_other"), "left")
     found = F.coalesce("_few", "_many")
     return joined.select(*left.columns, *[found[name].alias(name) for name in names])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopscope.functions.numeric import MONEY, cents, from_cents, mean, money_percent, percent, ratio
-from shopscope.operators.distinct import sums_and_distincts
+from shopscope.operators.distinct import sums_and_distincts, sums_and_distincts_in_place
 from shopscope.operators.keys import key_counts, surplus
 from shopscope.operators.medians import median_by_key
 from shopscope.operators.nulls import spread_null_key
@@ -319,37 +319,21 @@ def customer_experience(
 # --- category grain ---------------------------------------------------------------------------
 
 
-def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
-    """Spend per person and category, with its rank and shares within the person.
+SPEND_KEYS = [PERSON, "product_category"]
+SPEND_DISTINCT = {"category_orders": "order_id", "distinct_products": "product_id"}
 
-    Items are reduced to (order, product) first. Products that hold many lines are joined by a broadcast of just
-    their rows; the join on orders is followed by a new shuffle, so adaptive execution is free to split it.
-    """
-    lines = silver["order_items"].groupBy("order_id", "product_id").agg(
-        F.count("*").alias("n"),
-        F.sum(cents(F.col("price"))).alias("price"),
-        F.count("price").alias("prices"),
-        F.sum(cents(F.col("freight_value"))).alias("freight"),
-    )
-    # A repeated account repeats its items; carrying the multiplicity keeps the account rows unique.
-    people = silver["customers"].groupBy("customer_id", PERSON).agg(F.count("*").alias("times"))
-    buyers = silver["orders"].select("order_id", "customer_id").join(people, "customer_id").drop("customer_id")
-    products = silver["products"].select("product_id", F.col("product_category_name_english").alias("category"))
-    hot = hot_keys(silver["order_items"], "product_id")
-    bought = left_join(lines.join(buyers, "order_id"), products, "product_id", hot, ["order_id"])
 
+def _spend_sums() -> dict[str, Column]:
     times = F.col("times")
-    spend = sums_and_distincts(
-        bought.withColumn("product_category", F.coalesce("category", F.lit("unknown"))),
-        [PERSON, "product_category"],
-        {"category_orders": "order_id", "distinct_products": "product_id"},
-        {
-            "category_items": F.col("n") * times,
-            "value": F.col("price") * times,
-            "freight": F.col("freight") * times,
-            "prices": F.col("prices") * times,
-        },
-    )
+    return {
+        "category_items": times,
+        "value": F.col("price") * times,
+        "freight": F.col("freight") * times,
+        "prices": F.col("price").isNotNull().cast("bigint") * times,
+    }
+
+
+def _category_shares(spend: DataFrame) -> DataFrame:
     # A window holds one person's categories, one row each.
     person = Window.partitionBy(PERSON)
     value, orders = F.col("value"), F.col("category_orders")
@@ -368,6 +352,45 @@ def customer_category_behavior(silver: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def customer_category_behavior(silver: Mapping[str, DataFrame], workspace: Workspace | None = None) -> DataFrame:
+    """Spend per person and category, with its rank and shares within the person.
+
+    A line is shuffled three times: to its product, to its order, and to its person, where all that follows needs no
+    further shuffle. What the first two make is kept in the workspace, so that their shuffle files don't lie beside those
+    of the third. Products that hold many lines are joined by a broadcast of just their rows; the join on orders ends in
+    a write, so adaptive execution is free to split it. The lines of people who hold many are spread over their orders
+    and products instead, and summed up in steps. Without a workspace all is one lazy plan, and everybody's are.
+    """
+    kept = workspace.keep if workspace else lambda name, rows: rows
+    # A repeated account repeats its items; carrying the multiplicity keeps the account rows unique.
+    people = silver["customers"].groupBy("customer_id", PERSON).agg(F.count("*").alias("times"))
+    buyers = silver["orders"].select("order_id", "customer_id").join(people, "customer_id").drop("customer_id")
+    buyers = kept("category_buyers", buyers)
+    lines = silver["order_items"].select(
+        "order_id", "product_id", cents(F.col("price")).alias("price"), cents(F.col("freight_value")).alias("freight")
+    )
+    products = silver["products"].select("product_id", F.col("product_category_name_english").alias("category"))
+    hot = hot_keys(silver["order_items"], "product_id")
+    named = kept("category_lines", left_join(lines.where("order_id is not null"), products, "product_id", hot, ["order_id"]))
+    category = F.coalesce("category", F.lit("unknown")).alias("product_category")
+    bought = named.join(buyers, "order_id").select("price", "freight", "times", PERSON, "order_id", "product_id", category)
+    if workspace is None:
+        return _category_shares(sums_and_distincts(bought, SPEND_KEYS, SPEND_DISTINCT, _spend_sums()))
+    bought = kept("category_bought", bought)
+    workspace.drop("category_lines")
+    workspace.drop("category_buyers")
+
+    def at_home(rows: DataFrame) -> DataFrame:
+        return _category_shares(sums_and_distincts_in_place(rows.repartition(PERSON), SPEND_KEYS, SPEND_DISTINCT, _spend_sums()))
+
+    busy = hot_keys(bought, PERSON, nulls=True)
+    if not busy:
+        return at_home(bought)
+    spread = F.when(F.col(PERSON).isNull(), None in busy).otherwise(F.col(PERSON).isin([name for name in busy if name is not None]))
+    theirs = sums_and_distincts(bought.where(spread), SPEND_KEYS, SPEND_DISTINCT, _spend_sums())
+    return at_home(bought.where(~spread)).unionByName(_category_shares(theirs))
+
+
 # --- scores and segments ----------------------------------------------------------------------
 
 TILES = 5

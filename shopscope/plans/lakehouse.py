@@ -60,7 +60,7 @@ class Lakehouse:
 
     @cached_property
     def customer_category_behavior(self) -> DataFrame:
-        return gold.customer_category_behavior(self.silver)
+        return gold.customer_category_behavior(self.silver, self.workspace)
 
     @cached_property
     def customer_experience(self) -> DataFrame:

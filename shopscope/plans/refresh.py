@@ -39,7 +39,7 @@ def build_gold(tables: Mapping[str, DataFrame], release: Release) -> dict[str, D
         require_unique(built["order_summary"], "gold.order_summary", "order_id")  # what follows counts orders by rows
         facts = workspace.store("customer_facts", gold.customer_facts(built["order_summary"], tables["customers"]))
         built["customer_360"] = store("customer_360", gold.customer_360(facts))
-        built["customer_category_behavior"] = store("customer_category_behavior", gold.customer_category_behavior(tables))
+        built["customer_category_behavior"] = store("customer_category_behavior", gold.customer_category_behavior(tables, workspace))
         built["customer_experience"] = store(
             "customer_experience", gold.customer_experience(facts, tables["orders"], tables["customers"], workspace)
         )
